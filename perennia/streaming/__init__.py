@@ -1,0 +1,4 @@
+"""Nothing streams: the snapshot questions are batch questions.
+
+The column functions are stateless projections and may be used on a streaming frame.
+"""
