@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennia.functions.columns import field, is_text
+from perennia.functions.columns import field, is_integral, is_text
 
 DATE_FORMAT = "yyyy-MM-dd"
 
 
 def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``try_cast``; text becomes a date by the fixed date format only."""
+    """``try_cast``; text becomes a date by the fixed format, and ``7.0`` is the whole number 7."""
     if isinstance(target, T.DateType) and is_text(source):
         return F.try_to_date(column, DATE_FORMAT)
+    if is_integral(target) and is_text(source):
+        return F.coalesce(column.try_cast(target), column.try_cast("decimal(38,10)").try_cast(target))
     return column.try_cast(target)
 
 

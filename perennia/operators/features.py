@@ -25,6 +25,7 @@ class LabelMaker(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, *, source: str | None = None, target: str = "target"):
         super().__init__()
+        self._setDefault(target="target")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

@@ -71,20 +71,29 @@ def top_k_per_group(
     """The k best rows of every group.
 
     ``cut``: Spark limits each group to k rows per task before the shuffle, so a hot
-    group sends k rows from each task.  ``keep``: the k-th value per group comes from
-    those few rows and is joined back, which AQE may broadcast or split.
+    group sends k rows from each task; a k beyond that rule's threshold is taken from
+    the sliced full ranking.  ``keep``: the k-th value per group comes from those few
+    rows and is joined back, which AQE may broadcast or split.
     """
+    if k < 0:
+        raise ValueError("k must not be negative")
+    if ties not in ("cut", "keep"):
+        raise ValueError(f"unknown ties rule {ties!r}")
+    if ties == "keep" and rank_name:
+        raise ValueError("with ties kept the rows of a group carry no row number")
+    if ties == "keep":  # rows without a value are never among the best
+        df = df.filter(field(by).isNotNull())
     window = Window.partitionBy(*[field(c) for c in group]).orderBy(
         _order(by, descending), *[field(c) for c in tie_break]
     )
     rank_column = rank_name or "_rank"
-    cut = df.withColumn(rank_column, F.row_number().over(window)).filter(field(rank_column) <= k)
+    if k <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        cut = df.withColumn(rank_column, F.row_number().over(window))
+    else:
+        cut = rank_in_group(df, group, by, tie_break, descending=descending, name=rank_column)
+    cut = cut.filter(field(rank_column) <= k)
     if ties == "cut":
         return cut if rank_name else cut.drop(rank_column)
-    if ties != "keep":
-        raise ValueError(f"unknown ties rule {ties!r}")
-    if rank_name:
-        raise ValueError("with ties kept the rows of a group carry no row number")
     bounds = cut.groupBy(*[field(c).alias(f"_g{i}") for i, c in enumerate(group)]).agg(
         _last(by, descending).alias("_bound")
     )

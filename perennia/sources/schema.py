@@ -14,7 +14,7 @@ from perennia.functions import field, missing, safe_cast
 
 # The columns and types of a player snapshot, in file order.  The last
 # two come from the file name.
-PLAYER_SNAPSHOT_DDL = """
+PLAYER_SNAPSHOT_COLUMNS = """
     sofifa_id INT, player_url STRING, short_name STRING, long_name STRING,
     player_positions STRING, overall INT, potential INT, value_eur DOUBLE, wage_eur DOUBLE,
     age INT, dob DATE, height_cm INT, weight_kg INT, club_team_id DOUBLE, club_name STRING,
@@ -45,8 +45,12 @@ PLAYER_SNAPSHOT_DDL = """
 FILE_NAME_COLUMNS = ("year", "gender")
 
 
+_TYPES = {"INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "STRING": T.StringType(), "DATE": T.DateType()}
+
+
 def player_schema() -> T.StructType:
-    return T.StructType.fromDDL(PLAYER_SNAPSHOT_DDL)
+    pairs = [column.split() for column in PLAYER_SNAPSHOT_COLUMNS.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 def player_file_schema() -> T.StructType:
