@@ -1,6 +1,6 @@
 """Column-level helpers: every function returns a Column and stays inside the JVM."""
 
-from perennia.functions.casts import encode_map, safe_cast, to_int, year_at_most
+from perennia.functions.casts import encode_map, safe_cast, text_to_date, text_to_double, text_to_whole, to_int, year_at_most
 from perennia.functions.columns import field, is_floating, is_integral, is_numeric, is_text
 from perennia.functions.missing import MISSING_TEXT, missing, present_double
 from perennia.functions.numeric import exact_mean, hash_unit
@@ -20,6 +20,9 @@ __all__ = [
     "present_double",
     "rating",
     "safe_cast",
+    "text_to_date",
+    "text_to_double",
+    "text_to_whole",
     "to_int",
     "year_at_most",
 ]

@@ -8,23 +8,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennia.functions.columns import field, is_integral, is_text
+from perennia.functions.columns import field, is_floating, is_integral, is_text
 
-DATE_FORMAT = "yyyy-MM-dd"
+# A failing try_cast of text costs an exception per row, so text that cannot be a value of
+# the target type is sorted out by its shape first.
+_WHOLE = r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$"
+_NUMBER_START = r"^\s*[+-]?(?:[0-9.]|(?i:inf|nan))"
+_SHORTEST_DATE = len("2000-1-1")
+
+
+def text_to_double(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER_START), text.try_cast("double"))
+
+
+def text_to_whole(text: Column, target: T.DataType | str = "int") -> Column:
+    """Whole numbers, and the part before the point of decimal texts."""
+    digits = F.regexp_extract(text, _WHOLE, 1)
+    return F.when(digits != "", digits.try_cast(target))
+
+
+def text_to_date(text: Column) -> Column:
+    """Dates written year-month-day."""
+    return F.when(F.length(F.trim(text)) >= _SHORTEST_DATE, text.try_cast("date"))
 
 
 def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``try_cast``; text becomes a date by the fixed format, and ``7.0`` is the whole number 7."""
-    if isinstance(target, T.DateType) and is_text(source):
-        return F.try_to_date(column, DATE_FORMAT)
-    if is_integral(target) and is_text(source):
-        return F.coalesce(column.try_cast(target), column.try_cast("decimal(38,10)").try_cast(target))
+    """The value in the target type, or null where it is none."""
+    if is_text(source):
+        if isinstance(target, T.DateType):
+            return text_to_date(column)
+        if is_integral(target):
+            return text_to_whole(column, target)
+        if is_floating(target):
+            return text_to_double(column).try_cast(target)
     return column.try_cast(target)
 
 
-def to_int(column: Column) -> Column:
-    """Truncate a number towards zero; null when it does not fit or is not a number."""
-    return column.try_cast("double").try_cast("int")
+def to_int(df: DataFrame, name: str) -> Column:
+    """The column truncated to int; null where it does not fit or is not a number."""
+    return safe_cast(field(name), df.schema[name].dataType, T.IntegerType())
 
 
 def encode_map(column: Column, codes: Mapping[object, int]) -> Column:
@@ -46,5 +68,5 @@ def year_at_most(df: DataFrame, name: str, year: int) -> Column:
     dtype = df.schema[name].dataType
     first_day_after = F.lit(f"{year + 1:04d}-01-01")
     if is_text(dtype):
-        return F.try_to_date(field(name), DATE_FORMAT) < first_day_after.cast("date")
+        return text_to_date(field(name)) < first_day_after.cast("date")
     return field(name) < first_day_after.cast(dtype)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from perennia.functions.casts import safe_cast
 from perennia.functions.columns import field, is_floating, is_text
 
 MISSING_TEXT = "NA"
@@ -27,5 +29,5 @@ def missing(df: DataFrame, name: str) -> Column:
 
 def present_double(df: DataFrame, name: str) -> Column:
     """The value as a double, null where it is missing or not a number."""
-    value = field(name).try_cast("double")
+    value = safe_cast(field(name), df.schema[name].dataType, T.DoubleType())
     return F.when(~missing(df, name) & ~F.isnan(value), value)

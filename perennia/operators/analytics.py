@@ -57,7 +57,7 @@ def top_groups_by_contract(
     An entity that qualifies in several periods counts once, for the group of its
     newest qualifying row.
     """
-    stays = to_int(field(until)) if is_text(df.schema[until].dataType) else field(until)
+    stays = to_int(df, until) if is_text(df.schema[until].dataType) else field(until)
     needed = list(dict.fromkeys([*entity, group, period]))
     qualified = df.filter(year_at_most(df, joined, joined_by) & (stays >= until_at_least)).select(
         *[field(c) for c in needed]

@@ -48,4 +48,4 @@ def cast_columns(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFr
 
 
 def truncate_to_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: to_int(field(c)) for c in cols})
+    return df.withColumns({c: to_int(df, c) for c in cols})

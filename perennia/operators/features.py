@@ -12,8 +12,9 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from perennia.functions import field
+from perennia.functions import field, safe_cast
 
 
 class LabelMaker(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -32,7 +33,9 @@ class LabelMaker(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         source, target = self.getOrDefault("source"), self.getOrDefault("target")
         if source not in dataset.columns:  # rows to score need no label
             return dataset
-        made = dataset.withColumn(target, field(source).try_cast("double"))
+        made = dataset.withColumn(
+            target, safe_cast(field(source), dataset.schema[source].dataType, T.DoubleType())
+        )
         return made if source == target else made.drop(source)
 
 
@@ -47,7 +50,12 @@ class TypeCaster(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({c: field(c).try_cast("double") for c in self.getOrDefault("columns")})
+        return dataset.withColumns(
+            {
+                c: safe_cast(field(c), dataset.schema[c].dataType, T.DoubleType())
+                for c in self.getOrDefault("columns")
+            }
+        )
 
 
 class ColumnDropper(Transformer, DefaultParamsReadable, DefaultParamsWritable):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennia.functions import field, is_numeric, is_text, missing
+from perennia.functions import field, is_numeric, is_text, missing, text_to_double
 from perennia.sources.schema import one_row_per_column
 
 
@@ -44,7 +44,7 @@ def non_numeric_counts(df: DataFrame, cols: Sequence[str] | None = None) -> Data
         if is_numeric(dtype) or isinstance(dtype, T.BooleanType):
             return F.lit(False)
         if is_text(dtype):
-            return value.isNotNull() & value.try_cast("double").isNull()
+            return value.isNotNull() & text_to_double(value).isNull()
         return value.isNotNull()
 
     return one_row_per_column(df, {c: F.count_if(test(c)) for c in cols or df.columns}, "non_numeric")

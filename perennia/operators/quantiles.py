@@ -1,12 +1,17 @@
 """Exact quantiles of many columns at once, with bounded memory per task.
 
 The built-in exact aggregates keep every distinct value of a column in one task.  Here
-a sketch proposes two values around each quantile, and a counting pass tells how many
-rows lie below, on and between them.  Either one of the two is the answer, or the
-rows strictly between them are few enough to sort, or the search goes on among those.
-Each round divides the candidates by about ``accuracy / 6``; two rounds serve 10^12
-rows.  The driver sees counts and proposals only, and a value that a third of the rows
-share is settled by its count.
+the columns are read as (column, value) rows and combined in the tasks:
+
+* Whole-number columns with a narrow range: rows per value, then a running count over
+  at most ``NARROW`` values.
+* All others: a sketch proposes two values around each quantile, and a counting pass
+  tells how many rows lie below, on and between them.  Either one of the two is the
+  answer, or the rows strictly between them are few enough to sort, or the search goes
+  on among those.  A round divides the candidates by about ``accuracy / 6``.
+
+The driver sees counts and proposals only, and a value that a third of the rows share
+is settled by its count.
 """
 
 from __future__ import annotations
@@ -16,41 +21,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from perennia.functions import field, is_floating
+from perennia.functions import field, is_integral
 from perennia.sources.schema import small_table
 
-COLUMNS_PER_PASS = 24
-
-
-@dataclass
-class _Search:
-    """One quantile of one column: the ``rank``-th of ``size`` rows between two values."""
-
-    name: str
-    prob: float
-    rank: int
-    size: int
-    low: object = None
-    high: object = None
-    proposal: tuple | None = None
-    answer: object = None
-    done: bool = False
-
-    def inside(self, value: Column) -> Column:
-        test = value.isNotNull()
-        if self.low is not None:
-            test = test & (value > F.lit(self.low))
-        if self.high is not None:
-            test = test & (value < F.lit(self.high))
-        return test
+NARROW = 100_000  # distinct values counted one by one
+EXACT = 2**53  # whole numbers below have a double of their own
+SEARCHES_PER_PASS = 96  # groups that Spark's object aggregates hold without sorting
 
 
 @dataclass(frozen=True)
 class ColumnQuantiles:
-    """Count, extremes and quantile values of a column; NaN and null take no part."""
+    """Count, extremes and quantile values of a column; NaN and null take no part.
+
+    ``between`` counts the values other than the minimum and the maximum.
+    """
 
     name: str
     count: int
@@ -64,18 +51,36 @@ class ColumnQuantiles:
         return self.count > 0 and self.between == 0
 
 
-def _valid(df: DataFrame, name: str) -> Column:
-    value = field(name)
-    return F.when(~F.isnan(value), value) if is_floating(df.schema[name].dataType) else value
-
-
-def _sketch(value: Column, probs: Sequence[float], accuracy: int) -> Column:
-    return F.percentile_approx(value, [float(p) for p in probs], accuracy)
-
+@dataclass
+class _Search:
+    """One quantile of one column: the ``rank``-th of the ``size`` rows in an open interval."""
 
-def _around(prob: float, accuracy: int) -> tuple[float, float]:
-    margin = 2.0 / accuracy
-    return max(0.0, prob - margin), min(1.0, prob + margin)
+    column: int
+    prob: float
+    rank: int
+    size: int
+    low: float | None = None
+    high: float | None = None
+    proposal: tuple[float, float] | None = None
+    answer: float | None = None
+
+    def advance(self, below: int, on_low: int, middle: int, on_high: int, found: float | None) -> None:
+        low, high = self.proposal
+        to_low = below + on_low
+        to_middle = to_low + middle
+        to_high = to_middle + on_high
+        if self.rank <= below:
+            self.high, self.size = low, below
+        elif self.rank <= to_low:
+            self.answer = low
+        elif self.rank <= to_middle and found is not None:
+            self.answer = found
+        elif self.rank <= to_middle:
+            self.low, self.high, self.rank, self.size = low, high, self.rank - to_low, middle
+        elif self.rank <= to_high:
+            self.answer = high
+        else:
+            self.low, self.rank, self.size = high, self.rank - to_high, self.size - to_high
 
 
 def fit_quantiles(
@@ -83,153 +88,46 @@ def fit_quantiles(
     cols: Sequence[str],
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     *,
-    accuracy: int = 20_000,
+    accuracy: int = 10_000,
     gather: int = 100_000,
 ) -> list[ColumnQuantiles]:
     """Smallest value whose cumulative share of the rows reaches each probability.
 
-    ``gather`` bounds the values that are ever sorted together.  Two passes over the
-    data up to about ``gather * accuracy / 6`` rows, two more per further round.
+    ``gather`` bounds the values of a quantile that are ever sorted together.  Narrow
+    columns take two passes; others three up to about ``gather * accuracy / 6`` rows,
+    and two more for every further round.
     """
-    result = []
-    for start in range(0, len(cols), COLUMNS_PER_PASS):
-        result += _fit(df, list(cols[start : start + COLUMNS_PER_PASS]), list(probs), accuracy, gather)
-    return result
-
-
-def _fit(df: DataFrame, cols: list[str], probs: list[float], accuracy: int, gather: int) -> list[ColumnQuantiles]:
-    df = df.select(*[_valid(df, c).alias(f"v{i}") for i, c in enumerate(cols)])
-    position = {c: f"v{i}" for i, c in enumerate(cols)}
-    asked = [edge for p in probs for edge in _around(p, accuracy)]
-    first = df.agg(
-        *[
-            F.struct(
-                F.count(v).alias("count"),
-                F.min(v).alias("low"),
-                F.max(v).alias("high"),
-                _sketch(F.col(v), asked, accuracy).alias("edges"),
-            ).alias(v)
-            for v in position.values()
-        ]
-    ).first()
-
-    searches = []
-    for c in cols:
-        stats = first[position[c]]
-        for i, p in enumerate(probs):
-            n = stats["count"]
-            search = _Search(c, p, max(1, math.ceil(Fraction(str(p)) * n)), n, done=n == 0)
-            if n:
-                search.proposal = (stats["edges"][2 * i], stats["edges"][2 * i + 1])
-            searches.append(search)
-
-    between = _count_round(df, position, searches, accuracy, gather, first)
-    while any(not s.done for s in searches):
-        _propose_round(df, position, searches, accuracy)
-        _count_round(df, position, searches, accuracy, gather)
-
-    values = {(s.name, s.prob): s.answer for s in searches}
+    cols, probs = list(cols), list(probs)
+    stats = _cells(df, cols).groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    extent = {row.c: row for row in stats.collect()}
+    answers: dict[tuple[int, float], float] = {}
+    between: dict[int, int] = {}
+    narrow = [
+        c
+        for c, e in extent.items()
+        if is_integral(df.schema[cols[c]].dataType)
+        and e.high - e.low < NARROW
+        and max(abs(e.low), abs(e.high)) < EXACT
+    ]
+    if narrow:
+        _by_counting(df, cols, narrow, probs, extent, answers, between)
+    others = [c for c in extent if c not in narrow]
+    step = max(1, SEARCHES_PER_PASS // max(1, len(probs)))
+    for start in range(0, len(others), step):
+        _by_search(df, cols, others[start : start + step], probs, extent, answers, between, accuracy, gather)
     return [
         ColumnQuantiles(
-            c,
-            first[position[c]]["count"],
-            _number(first[position[c]]["low"]),
-            _number(first[position[c]]["high"]),
-            between[c],
-            {p: _number(values[c, p]) for p in probs},
+            name,
+            extent[c].n if c in extent else 0,
+            extent[c].low if c in extent else None,
+            extent[c].high if c in extent else None,
+            between.get(c, 0),
+            {p: answers.get((c, p)) for p in probs},
         )
-        for c in cols
+        for c, name in enumerate(cols)
     ]
 
 
-def _number(value: object) -> float | None:
-    return None if value is None else float(value)
-
-
-def _propose_round(df: DataFrame, position: dict[str, str], searches: list[_Search], accuracy: int) -> None:
-    active = [s for s in searches if not s.done]
-    row = df.agg(
-        *[
-            _sketch(
-                F.when(s.inside(F.col(position[s.name])), F.col(position[s.name])),
-                _around(s.rank / s.size, accuracy),
-                accuracy,
-            ).alias(f"p{i}")
-            for i, s in enumerate(active)
-        ]
-    ).first()
-    for i, s in enumerate(active):
-        s.proposal = tuple(row[f"p{i}"])
-
-
-def _count_round(
-    df: DataFrame,
-    position: dict[str, str],
-    searches: list[_Search],
-    accuracy: int,
-    gather: int,
-    extremes: Row | None = None,
-) -> dict[str, int]:
-    """Count around the proposals and move every search on.
-
-    With ``extremes`` (the first pass) also the values strictly between a column's
-    minimum and maximum are counted, and returned.
-    """
-    active = [s for s in searches if not s.done]
-    counted, wanted = [], []
-    for i, s in enumerate(active):
-        value, inside = F.col(position[s.name]), s.inside(F.col(position[s.name]))
-        low, high = F.lit(s.proposal[0]), F.lit(s.proposal[1])
-        middle = inside & (value > low) & (value < high)
-        parts = [
-            F.count_if(inside & (value < low)).alias("below"),
-            F.count_if(inside & (value == low)).alias("on_low"),
-            F.count_if(middle).alias("middle"),
-            F.count_if(inside & (value == high) & (high > low)).alias("on_high"),
-        ]
-        state = F.col(f"s{i}")
-        kept = [state[name] for name in ("below", "on_low", "middle", "on_high")]
-        # The sketch's error bound limits the rows between the proposals to 6 / accuracy.
-        # They are sorted in the task, and only the one at the wanted rank leaves it.
-        if 6 * s.size / accuracy + 1 <= gather:
-            parts.append(F.sort_array(F.collect_list(F.when(middle, value))).alias("values"))
-            place = F.lit(s.rank) - state["below"] - state["on_low"] - 1
-            kept.append(F.when(place >= 0, F.get(state["values"], place.cast("int"))).alias("found"))
-        counted.append(F.struct(*parts).alias(f"s{i}"))
-        wanted.append(F.struct(*kept).alias(f"s{i}"))
-
-    filled = {c: v for c, v in position.items() if extremes is not None and extremes[v]["count"]}
-    for v in filled.values():
-        strictly = (F.col(v) > F.lit(extremes[v]["low"])) & (F.col(v) < F.lit(extremes[v]["high"]))
-        counted.append(F.count_if(strictly).alias(f"between_{v}"))
-        wanted.append(F.col(f"between_{v}"))
-    if not counted:
-        return dict.fromkeys(position, 0)
-    row = df.agg(*counted).select(*wanted).first()
-    for i, s in enumerate(active):
-        _advance(s, row[f"s{i}"].asDict())
-    return {c: row[f"between_{filled[c]}"] if c in filled else 0 for c in position}
-
-
-def _advance(s: _Search, counted: dict) -> None:
-    low, high = s.proposal
-    to_low = counted["below"] + counted["on_low"]
-    to_middle = to_low + counted["middle"]
-    to_high = to_middle + counted["on_high"]
-    if s.rank <= counted["below"]:
-        s.high, s.size = low, counted["below"]
-    elif s.rank <= to_low:
-        s.answer, s.done = low, True
-    elif s.rank <= to_middle and "found" in counted:
-        s.answer, s.done = counted["found"], True
-    elif s.rank <= to_middle:
-        s.low, s.high, s.rank, s.size = low, high, s.rank - to_low, counted["middle"]
-    elif s.rank <= to_high:
-        s.answer, s.done = high, True
-    else:
-        s.low, s.rank, s.size = high, s.rank - to_high, s.size - to_high
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), **options) -> DataFrame:
     """(column_name, prob, value)"""
     rows = [
@@ -238,3 +136,147 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25
         for p in probs
     ]
     return small_table(df.sparkSession, rows, "column_name string, prob double, value double")
+
+
+def _cells(df: DataFrame, names: list[str]) -> DataFrame:
+    """(c, v): position in ``names`` and present value.  A quantile commutes with the cast to double."""
+    values = F.array(*[field(name).cast("double") for name in names])
+    return df.select(F.posexplode(values).alias("c", "v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _rank(prob: float, n: int) -> int:
+    return max(1, math.ceil(Fraction(str(prob)) * n))
+
+
+def _by_counting(df, cols, wanted, probs, extent, answers, between) -> None:
+    # One number stands for a column and a value in it.
+    keys = [
+        field(cols[c]).cast("bigint") + F.lit(place * NARROW - int(extent[c].low)) for place, c in enumerate(wanted)
+    ]
+    counts = (
+        df.select(F.explode(F.array(*keys)).alias("key"))
+        .filter(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.count("*").alias("n"))
+        .select(F.floor(F.col("key") / NARROW).cast("int").alias("place"), (F.col("key") % NARROW).alias("v"), "n")
+    )
+    running = Window.partitionBy("place").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    goals = small_table(
+        df.sparkSession,
+        [
+            {"g": place, "prob": p, "rank": _rank(p, extent[c].n), "top": int(extent[c].high - extent[c].low)}
+            for place, c in enumerate(wanted)
+            for p in probs
+        ],
+        "g int, prob double, rank bigint, top bigint",
+    )
+    picked = (
+        counts.withColumn("upto", F.sum("n").over(running))
+        .join(F.broadcast(goals), F.col("place") == F.col("g"))
+        .groupBy("place", "prob")
+        .agg(
+            F.min(F.when(F.col("upto") >= F.col("rank"), F.col("v"))).alias("v"),
+            F.sum(F.when((F.col("v") > 0) & (F.col("v") < F.col("top")), F.col("n"))).alias("between"),
+        )
+    )
+    for row in picked.collect():
+        c = wanted[row.place]
+        answers[c, row.prob] = float(row.v + int(extent[c].low))
+        between[c] = row.between or 0
+
+
+def _by_search(df, cols, wanted, probs, extent, answers, between, accuracy, gather) -> None:
+    cells = _cells(df, [cols[c] for c in wanted])
+    searches = [
+        _Search(place, p, _rank(p, extent[c].n), extent[c].n) for place, c in enumerate(wanted) for p in probs
+    ]
+
+    edges = [edge for p in probs for edge in _around(p, accuracy)]
+    proposed = cells.groupBy("c").agg(
+        F.percentile_approx("v", edges, accuracy).alias("edges"),
+        F.count_if(_strictly_inside([extent[c] for c in wanted])).alias("between"),
+    )
+    for row in proposed.collect():
+        between[wanted[row.c]] = row.between
+        for s in searches:
+            if s.column == row.c:
+                at = 2 * probs.index(s.prob)
+                s.proposal = (row.edges[at], row.edges[at + 1])
+
+    while active := [s for s in searches if s.answer is None]:
+        if any(s.proposal is None for s in active):
+            _propose(cells, active, accuracy)
+        _count(cells, active, accuracy, gather)
+    for s in searches:
+        answers[wanted[s.column], s.prob] = s.answer
+
+
+def _strictly_inside(extents: list[Row]) -> Column:
+    low, high = (F.array(*[F.lit(e[side]) for e in extents]) for side in ("low", "high"))
+    return (F.col("v") > low[F.col("c")]) & (F.col("v") < high[F.col("c")])
+
+
+def _around(prob: float, accuracy: int) -> tuple[float, float]:
+    margin = 2.0 / accuracy
+    return max(0.0, prob - margin), min(1.0, prob + margin)
+
+
+def _beside(cells: DataFrame, active: list[_Search], accuracy: int, gather: int) -> DataFrame:
+    """Every value next to each search of its column it is a candidate of."""
+    goals = small_table(
+        cells.sparkSession,
+        [
+            {
+                "s": i,
+                "g": s.column,
+                "rank": s.rank,
+                "low": s.low,
+                "high": s.high,
+                "first": s.proposal[0] if s.proposal else None,
+                "second": s.proposal[1] if s.proposal else None,
+                # The sketch's error bound limits the rows between the proposals to 6 / accuracy.
+                "sortable": 6 * s.size / accuracy + 1 <= gather,
+            }
+            for i, s in enumerate(active)
+        ],
+        "s int, g int, rank bigint, low double, high double, first double, second double, sortable boolean",
+    )
+    candidate = (F.col("low").isNull() | (F.col("v") > F.col("low"))) & (
+        F.col("high").isNull() | (F.col("v") < F.col("high"))
+    )
+    return cells.join(F.broadcast(goals), F.col("c") == F.col("g")).filter(candidate)
+
+
+def _propose(cells: DataFrame, active: list[_Search], accuracy: int) -> None:
+    """New proposals around each search's share of its remaining rows."""
+    probs = sorted({edge for s in active for edge in _around(s.rank / s.size, accuracy)})
+    sketched = _beside(cells, active, accuracy, 0).groupBy("s").agg(
+        F.percentile_approx("v", probs, accuracy).alias("edges")
+    )
+    for row in sketched.collect():
+        low, high = _around(active[row.s].rank / active[row.s].size, accuracy)
+        active[row.s].proposal = (row.edges[probs.index(low)], row.edges[probs.index(high)])
+
+
+def _count(cells: DataFrame, active: list[_Search], accuracy: int, gather: int) -> None:
+    """Count around the proposals and move every search on."""
+    value, first, second = F.col("v"), F.col("first"), F.col("second")
+    middle = (value > first) & (value < second)
+    counted = (
+        _beside(cells, active, accuracy, gather)
+        .groupBy("s", "rank")
+        .agg(
+            F.count_if(value < first).alias("below"),
+            F.count_if(value == first).alias("on_low"),
+            F.count_if(middle).alias("middle"),
+            F.count_if((value == second) & (second > first)).alias("on_high"),
+            F.collect_list(F.when(middle & F.col("sortable"), value)).alias("values"),
+        )
+    )
+    # Of the sorted values only the one at the wanted rank leaves its task.
+    place = F.col("rank") - F.col("below") - F.col("on_low") - 1
+    found = F.when(place >= 0, F.get(F.sort_array("values"), place.cast("int")))
+    rows = counted.select("s", "below", "on_low", "middle", "on_high", found.alias("found")).collect()
+    for row in rows:
+        active[row.s].advance(row.below, row.on_low, row.middle, row.on_high, row.found)
+        active[row.s].proposal = None

@@ -90,7 +90,7 @@ MEASURES = ["user_id", "value", "energy", "is_error"]
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem with a label that follows from other columns, split by order."""
     price = F.col("l_extendedprice") / 1000
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = files.spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         "l_quantity",

@@ -59,3 +59,13 @@ def union_all(frames: Sequence[DataFrame], by_name: bool = True) -> DataFrame:
     if by_name:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return reduce(DataFrame.union, frames)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan with at least a task per core, for work that passes over it many times.
+
+    Few large row groups would leave cores idle.  A table read by enough tasks, as any
+    large one is, comes back as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from perennia.functions import encode_map, rating, to_int
+from perennia.functions import encode_map, rating, text_to_double, to_int
 from perennia.operators import clean, quality
 
 
@@ -77,7 +79,8 @@ RATINGS = {
     "79.5": (79, None),
     "NA": (None, None),
     "": (None, None),
-    "+5": (None, 5),
+    "+5": (None, None),
+    "7x+3": (7, None),
     "abc": (None, None),
     None: (None, None),
 }
@@ -100,7 +103,12 @@ def test_codes_and_casts(spark):
     with pytest.raises(ValueError):
         encode_map(F.col("foot"), {})
     numbers = spark.createDataFrame([(58.9,), (-58.9,), (1e30,), (float("nan"),), (None,)], "d double")
-    assert [r[0] for r in numbers.select(to_int(F.col("d"))).collect()] == [58, -58, None, None, None]
+    assert [r[0] for r in numbers.select(to_int(numbers, "d")).collect()] == [58, -58, None, None, None]
+    wholes = spark.createDataFrame([("7",), (" 7.9 ",), ("-3.",), ("1e3",), ("99999999999",), ("NA",), ("",)], "s string")
+    assert [r[0] for r in wholes.select(to_int(wholes, "s")).collect()] == [7, 7, -3, None, None, None, None]
+    doubles = spark.createDataFrame([("1e3",), (" .5",), ("NaN",), ("-inf",), ("NA",), ("x",), ("2+1",)], "s string")
+    got = [r[0] for r in doubles.select(text_to_double(F.col("s"))).collect()]
+    assert got[:2] == [1000.0, 0.5] and math.isnan(got[2]) and got[3:] == [-math.inf, None, None, None]
     texts = spark.createDataFrame([("12", "1.5", "2020-02-30"), ("NA", "x", "2020-02-29")], "i string, d string, t string")
     cast = clean.cast_columns(texts, {"i": "int", "d": "double", "t": "date"}).withColumn("t", F.col("t").cast("string"))
     assert rows(cast) == [(12, 1.5, None), (None, None, "2020-02-29")]

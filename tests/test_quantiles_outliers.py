@@ -39,12 +39,21 @@ def test_many_rounds_and_a_hot_value(spark, gather):
         assert fitted.count == 9000 and fitted.minimum == min(column) and fitted.maximum == max(column)
 
 
-def test_more_columns_than_one_pass(spark):
-    width = quantiles.COLUMNS_PER_PASS + 3
-    data = [tuple(i * j for j in range(width)) for i in range(50)]
-    names = [f"c{j}" for j in range(width)]
-    fitted = quantiles.fit_quantiles(spark.createDataFrame(data, names), names, (0.5,))
-    assert [f.values[0.5] for f in fitted] == [24.0 * j for j in range(width)]
+@pytest.mark.parametrize("kind", [int, float])
+def test_more_columns_than_one_pass(spark, monkeypatch, kind):
+    monkeypatch.setattr(quantiles, "SEARCHES_PER_PASS", 4)
+    data = [tuple(kind(i * j) for j in range(9)) for i in range(50)]
+    names = [f"c{j}" for j in range(9)]
+    fitted = quantiles.fit_quantiles(spark.createDataFrame(data, names), names, (0.5, 1.0))
+    assert [f.values for f in fitted] == [{0.5: 24.0 * j, 1.0: 49.0 * j} for j in range(9)]
+    assert [f.between for f in fitted] == [0] + [48] * 8
+
+
+def test_negative_and_wide_whole_numbers(spark):
+    data = [(-7 + i % 5, (i - 50) * 10**9, 2**60 + i) for i in range(100)]
+    fitted = quantiles.fit_quantiles(spark.createDataFrame(data, "a int, b bigint, c bigint"), ["a", "b", "c"], (0.25, 0.9))
+    for column, f in zip(zip(*data), fitted):
+        assert f.values == {p: float(brute(column, p)) for p in (0.25, 0.9)}
 
 
 def test_a_column_without_values(spark):
