@@ -73,7 +73,11 @@ class ColumnDropper(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 def string_indexer(cols: Sequence[str], unseen: str = "error") -> StringIndexer:
-    """Index by falling frequency, equal counts by value."""
+    """Index by falling frequency, equal counts by value.
+
+    The distinct values of a column are kept on the driver: for nominal columns with a
+    limited number of labels, not for keys.
+    """
     return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols], handleInvalid=unseen)
 
 

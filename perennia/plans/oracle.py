@@ -85,6 +85,41 @@ FIT = f"""
                from charges, fit)
 """
 
+FEATURES = f"""
+    charges as ({CHARGES}),
+    flags as (select l_returnflag, row_number() over (order by count(*) desc, l_returnflag) - 1 as f
+              from charges where split = 'train' group by 1),
+    states as (select l_linestatus, row_number() over (order by count(*) desc, l_linestatus) - 1 as s
+               from charges where split = 'train' group by 1),
+    rows as (select *, (f = 0)::int as f0, (f = 1)::int as f1, (s = 0)::int as s0
+             from charges join flags using (l_returnflag) join states using (l_linestatus))
+"""
+
+
+def _residuals() -> str:
+    """Least squares of charge on all features as CTEs; ``y`` of ``r7`` is the residual.
+
+    The features are made orthogonal one after the other, and each takes its share of
+    the label; coefficients come from the train part only.
+    """
+    names = ["l_quantity", "price", "l_discount", "l_tax", "f0", "f1", "s0"]
+    means = ", ".join(f"avg({c}) as m{i}" for i, c in enumerate(names))
+    centred = ", ".join(f"{c} - m{i} as x{i}" for i, c in enumerate(names))
+    steps = [
+        f"m as (select {means}, avg(charge) as my from rows where split = 'train')",
+        f"r0 as (select split, charge as target, charge - my as y, {centred} from rows, m)",
+    ]
+    for k in range(len(names)):
+        later = range(k + 1, len(names))
+        shares = [f"sum(x{k} * x{j}) / sum(x{k} * x{k}) as b{j}" for j in later]
+        rest = [f"x{j} - b{j} * x{k} as x{j}" for j in later]
+        steps.append(
+            f"c{k} as (select {', '.join([*shares, f'sum(x{k} * y) / sum(x{k} * x{k}) as b'])} "
+            f"from r{k} where split = 'train')"
+        )
+        steps.append(f"r{k + 1} as (select {', '.join(['split', 'target', f'y - b * x{k} as y', *rest])} from r{k}, c{k})")
+    return FEATURES + ", " + ", ".join(steps)
+
 
 def _per_column(source: str, measures: dict[str, str]) -> str:
     parts = [f"select '{c}' as column_name, {columns} from src" for c, columns in measures.items()]
@@ -352,13 +387,7 @@ SQL: dict[str, str] = {
                {_number("l_tax / t")} as x2
         from lineitem, s""",
     "feature_pipeline": f"""
-        with charges as ({CHARGES}),
-        flags as (select l_returnflag, row_number() over (order by count(*) desc, l_returnflag) - 1 as f
-                  from charges where split = 'train' group by 1),
-        states as (select l_linestatus, row_number() over (order by count(*) desc, l_linestatus) - 1 as s
-                   from charges where split = 'train' group by 1),
-        rows as (select *, (f = 0)::int as f0, (f = 1)::int as f1, (s = 0)::int as s0
-                 from charges join flags using (l_returnflag) join states using (l_linestatus)),
+        with {FEATURES},
         sd as (select stddev_samp(l_quantity) as q, stddev_samp(price) as p, stddev_samp(l_discount) as d,
                       stddev_samp(l_tax) as t, stddev_samp(f0) as a, stddev_samp(f1) as b, stddev_samp(s0) as c
                from rows where split = 'train')
@@ -368,6 +397,11 @@ SQL: dict[str, str] = {
                round(f0 / a, 5) + 0.0::double as x4, round(f1 / b, 5) + 0.0::double as x5,
                round(s0 / c, 5) + 0.0::double as x6
         from rows, sd""",
+    "linear_regression_wide": f"""
+        with {_residuals()}
+        select split, count(*) as n, round(avg(y * y), 6) as mse, round(sqrt(avg(y * y)), 6) as rmse,
+               round(avg(abs(y)), 6) as mae, round(1 - sum(y * y) / (var_pop(target) * count(*)), 6) as r2
+        from r7 group by split""",
     "linear_regression": f"""
         with {FIT}
         select (select count(*) from charges where split = 'train') as n, round(b, 8) + 0.0::double as slope,

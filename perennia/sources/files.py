@@ -45,7 +45,9 @@ def snapshot_gender(name: Column) -> Column:
     return F.when(F.split_part(name, F.lit("_"), F.lit(1)) == "female", "F").otherwise("M")
 
 
-def read_snapshots(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, **options: object) -> DataFrame:
+def read_snapshots(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, **options: object
+) -> DataFrame:
     """All snapshots under a glob in one scan, with ``year`` and ``gender`` from their names."""
     rows = read_csv(spark, path, schema, **options)
     name = snapshot_name()

@@ -22,7 +22,9 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
     writer.partitionBy(*partition_by).csv(path)
 
 
-def write_snapshots(df: DataFrame, path: str, partition_by: Sequence[str] = ("year", "gender"), mode: str = "overwrite") -> None:
+def write_snapshots(
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("year", "gender"), mode: str = "overwrite"
+) -> None:
     """Parquet by period, so that questions about one year read only that year."""
     _by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 

@@ -33,7 +33,10 @@ def test_pipeline_layout_and_scaling(model_rows):
 
 
 def test_pipeline_options(spark, model_rows):
-    fitted = features.feature_pipeline(["x1", "x2"], ["f"], "label", unseen="keep", nulls="skip", keep_inputs=True).fit(model_rows)
+    pipeline = features.feature_pipeline(
+        ["x1", "x2"], ["f"], "label", unseen="keep", nulls="skip", keep_inputs=True
+    )
+    fitted = pipeline.fit(model_rows)
     odd = spark.createDataFrame(
         [(1, 1.0, 2.0, "new", 1.0), (2, None, 2.0, "x", 1.0)], "key int, x1 double, x2 double, f string, label double"
     )

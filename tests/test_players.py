@@ -6,13 +6,18 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows, unordered
+from pyspark.sql import functions as F
 
 from perennia.operators import outliers
 from perennia.operators.mlp import MLPConfig
 from perennia.plans import players as p
 from perennia.sources.schema import player_file_schema, player_schema
 
-YEARS = {"players_15.csv": (2015, "M", 150), "players_16.csv": (2016, "M", 160), "female_players_16.csv": (2016, "F", 40)}
+YEARS = {
+    "players_15.csv": (2015, "M", 150),
+    "players_16.csv": (2016, "M", 160),
+    "female_players_16.csv": (2016, "F", 40),
+}
 
 
 def snapshot(seed: int, n: int) -> pd.DataFrame:
@@ -29,7 +34,8 @@ def snapshot(seed: int, n: int) -> pd.DataFrame:
         elif kind == "double":
             columns[name] = rng.integers(1, 5000, n).astype(float)
         elif kind == "date":
-            columns[name] = [f"{y}-0{m}-1{d}" for y, m, d in zip(rng.integers(2008, 2019, n), rng.integers(1, 9, n), rng.integers(0, 9, n))]
+            parts = zip(rng.integers(2008, 2019, n), rng.integers(1, 9, n), rng.integers(0, 9, n))
+            columns[name] = [f"{y}-0{m}-1{d}" for y, m, d in parts]
         else:
             columns[name] = [f"{name} {v}" for v in rng.integers(0, 6, n)]
     frame = pd.DataFrame(columns)
@@ -71,7 +77,8 @@ def test_read_is_typed(table):
 
 def test_contract_question(table):
     frame, pdf = table
-    men = pdf[(pdf.gender == "M") & (pdf.club_contract_valid_until >= 2023) & (pdf.club_joined.str[:4].astype(int) <= 2014)]
+    joined = pdf.club_joined.str[:4].astype(int)
+    men = pdf[(pdf.gender == "M") & (pdf.club_contract_valid_until >= 2023) & (joined <= 2014)]
     newest = men.sort_values("year", ascending=False).drop_duplicates(["sofifa_id", "long_name"])
     counts = newest.groupby("club_name", dropna=False).size().reset_index(name="n")
     counts["key"] = counts["club_name"].fillna("")
@@ -99,7 +106,8 @@ def test_nationality_question(table):
     assert unordered(p.top_nationality_by_year(frame)) == sorted(map(tuple, firsts.itertuples(index=False)))
     year = ordered[ordered.year == 2016].head(3)
     got = p.leading_nationalities(frame, 2016, 3).orderBy("rank")
-    assert [(r.nationality_name, r.nationality_count) for r in got.collect()] == list(zip(year["nationality_name"], year["n"]))
+    found = [(r.nationality_name, r.nationality_count) for r in got.collect()]
+    assert found == list(zip(year["nationality_name"], year["n"]))
     assert p.nationality_ranking(frame).count() == len(counts)
 
 
@@ -120,8 +128,6 @@ def test_preparation(table):
 
 def test_sparse_model_column_is_left_out(spark, table):
     frame, _ = table
-    from pyspark.sql import functions as F
-
     prepared = p.prepare_players(frame.withColumn("pace", F.lit(None).cast("int")))
     assert "pace" not in prepared.columns and "shooting" in prepared.columns
 
