@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.functions import exact_mean, field, is_text, to_int, year_at_most
+from perennia.functions import exact_mean, field, is_text, present_double, to_int, year_at_most
 from perennia.operators.ranking import rank_in_group, top_k, top_k_per_group
 
 
@@ -16,9 +16,16 @@ def group_count(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFram
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def group_avg(df: DataFrame, keys: Sequence[str], measure: str, name: str = "avg") -> DataFrame:
-    """Mean of a measure per group; null where a group has no value."""
-    return df.groupBy(*[field(k) for k in keys]).agg(exact_mean(df, measure).alias(name))
+def group_avg(
+    df: DataFrame, keys: Sequence[str], measure: str, name: str = "avg", *, exact: bool = False
+) -> DataFrame:
+    """Mean of a measure per group; null where a group has no value.
+
+    ``exact`` makes the mean independent of the order in which rows arrive, to the last
+    bit, which comparisons between groups need.
+    """
+    mean = exact_mean(df, measure) if exact else F.avg(present_double(df, measure))
+    return df.groupBy(*[field(k) for k in keys]).agg(mean.alias(name))
 
 
 def dedup_latest(
@@ -87,7 +94,8 @@ def extreme_groups_by_avg(
         highest, k = False, -k
     if drop_null_groups:
         df = df.filter(field(group).isNotNull())
-    return top_k(group_avg(df, [group], measure, name), k, name, [group], descending=highest, ties="keep")
+    means = group_avg(df, [group], measure, name, exact=True)
+    return top_k(means, k, name, [group], descending=highest, ties="keep")
 
 
 def mode_per_group(df: DataFrame, group: str, value: str, *, name: str = "n", ties: str = "cut") -> DataFrame:

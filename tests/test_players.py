@@ -8,7 +8,7 @@ import pytest
 from conftest import rows, unordered
 from pyspark.sql import functions as F
 
-from perennia.operators import outliers
+from perennia.operators import outliers, quality
 from perennia.operators.mlp import MLPConfig
 from perennia.plans import players as p
 from perennia.sources.schema import player_file_schema, player_schema
@@ -75,6 +75,14 @@ def test_read_is_typed(table):
     assert frame.filter("goalkeeping_speed is not null").count() == int(pdf["goalkeeping_speed"].notna().sum())
 
 
+def test_profile_of_all_columns(table):
+    frame, pdf = table
+    missing = {r.column_name: r.missing for r in quality.missing_ratio(frame).collect()}
+    lacking = pdf.isna() | (pdf == "NA")
+    assert missing == {c: int(lacking[c].sum()) for c in frame.columns}
+    assert [r.column_name for r in quality.sparse_columns(frame).collect()] == ["goalkeeping_speed"]
+
+
 def test_contract_question(table):
     frame, pdf = table
     joined = pdf.club_joined.str[:4].astype(int)
