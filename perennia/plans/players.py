@@ -18,6 +18,7 @@ from perennia.operators import analytics, clean, features, models, outliers, qua
 from perennia.operators.mlp import MLPConfig, train_mlp
 from perennia.sources import files
 from perennia.sources.schema import conform, player_file_schema, player_schema
+from perennia.sources.scratch import stored
 
 # The columns the rating models use, and how they are coded.
 LABEL = "overall"
@@ -137,8 +138,11 @@ def train_ratings(
 ) -> tuple[dict[str, object], DataFrame]:
     """Linear, tree and (given a config) network models, and their metrics on both parts.
 
-    The parts come from a hash of ``keys`` (default: all columns).
+    The parts come from a hash of ``keys`` (default: all columns).  The table is written
+    to the scratch folder first, so that the many passes of the trainers read its model
+    columns instead of preparing them again.
     """
+    table = stored(table)
     train, test = split.hash_split(table, keys, (0.8, 0.2), seed)
     fitted = rating_pipeline(table.columns).fit(train)
     parts = {"train": fitted.transform(train), "test": fitted.transform(test)}

@@ -32,3 +32,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are fixed and survive the loss of any executor."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once as Parquet in the scratch folder, for many passes over few columns."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
