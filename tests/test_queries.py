@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from perennia.plans.catalog import QUERIES
+from perennia.plans.oracle import SQL
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -29,18 +31,18 @@ def comparable(columns, values):
     return [columns[i] for i in order], sorted(plain, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, database, name):
-    frame = entry_points.queries()[name](spark, str(DATA))
+    frame = QUERIES[name](spark, str(DATA))
     got = comparable(frame.columns, [tuple(r) for r in frame.collect()])
-    cursor = database.execute(entry_points.oracle_sql()[name])
+    cursor = database.execute(SQL[name])
     want = comparable([c[0] for c in cursor.description], cursor.fetchall())
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - set(entry_points.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_model_queries(spark, name):
-    frame = entry_points.queries()[name](spark, str(DATA))
+    frame = QUERIES[name](spark, str(DATA))
     got = frame.collect()
     assert got
     if "r2" in frame.columns and name != "mlp_regression_deep":
