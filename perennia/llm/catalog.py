@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, packing
+from perennia.llm import bpe, packing, quality
 from perennia.session import ship_package
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -54,3 +54,20 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def remainder(id: str, by: int):
+    """crc32 of the id's text modulo ``by``: tells the rows that may be learned from."""
+    return F.pmod(F.crc32(F.col(id).cast("string")), F.lit(by))
+
+
+@query("op1_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    scored = quality.score_documents(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
