@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, packing, quality
+from perennia.llm import bpe, packing, quality, toxicity
 from perennia.session import ship_package
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -71,3 +71,15 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1)
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
