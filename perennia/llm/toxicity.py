@@ -288,9 +288,11 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     label_model = fit_label_model(votes, np.maximum(everyone - sure.sum(axis=1), 0), sure)
     beliefs = {n: float(p) for n, p in zip(numbers, label_model.posterior(votes))}
     belief = F.create_map([F.lit(x) for pair in beliefs.items() for x in pair])[F.col("votes")]
+    belief = F.coalesce(F.col("y").cast("double"), belief)  # the posterior of a labelled row is its label
     classes = F.explode(F.array(F.struct(F.lit(0.0).alias("label"), (1 - belief).alias("weight")), F.struct(F.lit(1.0).alias("label"), belief.alias("weight"))))
     # rows that look the same to the classifier are one weighted row
-    same = table.groupBy("x", "votes").agg(F.count("*").alias("n"))
+    one = known.groupBy("id").agg(F.max("y").alias("y"))
+    same = table.join(one, "id", "left").groupBy("x", "votes", "y").agg(F.count("*").alias("n"))
     rows = same.select("x", "n", classes.alias("c")).select(
         array_to_vector(F.col("x").cast("array<double>")).alias("features"), "c.label", (F.col("c.weight") * F.col("n")).alias("weight")
     ).filter("weight > 0")
