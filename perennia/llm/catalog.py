@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, packing, quality, toxicity
-from perennia.session import ship_package
+from perennia.llm import bpe, language, packing, quality, toxicity
+from perennia.llm.common import prepare
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,7 +21,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return function(spark, sf_dir)
 
         QUERIES[name] = run
@@ -83,3 +83,28 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query("op9_language_id")
+def language_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared language and the source stand for markup and host; the text model is learned from both."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn_text(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    docs = docs.withColumn("letters", language.has_letters(F.col("text")))
+    rows = language.evidence(docs, model, F.col("text"), F.col("lang"), F.col("source"), "doc_id", "letters")
+    model = language.learn_evidence(rows, model)
+    found = language.fuse(rows, model, "likelihoods", F.col("declared"), F.col("host"))
+    kept = language.is_kept(F.col("letters"), F.col("confidence"))
+    return found.select("doc_id", "language", "confidence", "declared", kept.alias("kept"))
+
+
+@query("language_id_of_pages")
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: visible text, the lang attribute, and host and suffix of the address."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.learn_text(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    declared, host = language.declared_in_markup(F.col("html")), language.host_of(F.col("url"))
+    rows = language.evidence(pages, model, language.text_of_markup(F.col("html")), declared, host, "page_id")
+    model = language.learn_evidence(rows, model)
+    found = language.fuse(rows, model, "likelihoods", F.col("declared"), F.col("host"))
+    return found.select("page_id", "host", "declared", "language", "confidence")
