@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,50 +31,58 @@ from perennia.llm.common import temporary
 PIECE = 2048
 #: Characters of a text from which its pieces are dealt out over the tasks.
 LONG = 65536
-#: Units and words that a worker remembers; it forgets all of them beyond that.
-REMEMBERED = 400_000
+#: Units, and words, in each of the two generations that a worker remembers.
+REMEMBERED = 250_000
 #: Bytes of a vocabulary file; it is sent to every worker.
 VOCABULARY_BYTES = 64 << 20
 
-#: Words for which lower-casing is all the normalisation there is: Latin letters, then marks that form one token run.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|$%&*#()\-]*)").fullmatch
-_SPACES = str.maketrans("\t\n\r", "   ")
+#: Words for which lower-casing is all the normalisation there is; marks after them form a pre-token of their own.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+_MARKS = ".,;:!?|$%&*#()-"
 
 
 class Codec:
     """Encoder and decoder of one vocabulary file in a worker process."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
-        spec = json.loads(vocabulary)
-        model = spec["model"]
-        self.end = model.get("end_of_word_suffix") or ""
-        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.whole = Tokenizer.from_str(vocabulary)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.closing = models.BPE(model["vocab"], merges, end_of_word_suffix=self.end or None)
-        self.inner = models.BPE(model["vocab"], merges)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         size = self.whole.get_vocab_size(with_added_tokens=True)
         self.strings = [self.whole.id_to_token(i) or "" for i in range(size)]
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.end = self.whole.model.end_of_word_suffix or ""
+        self.closing = self.whole.model
+        self.vocabulary = vocabulary
+        # how the model's alphabet spells the lower-case letters beyond ASCII that plain words may have
+        self.letters = {ord(c): self.pre_token(c) for c in "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"}
         self.units: dict[str, bytes] = _Memory(self._unit)
         self.words: dict[str, bytes] = _Memory(self._word)
 
+    @cached_property
+    def inner(self):
+        """The model for pieces that do not end a word."""
+        from tokenizers import models
+
+        model = json.loads(self.vocabulary)["model"]
+        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
+        return models.BPE(model["vocab"], merges)
+
     # -- encoding
 
     def encode(self, text: str | None) -> bytes:
         """Token ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        return b"".join(map(self.units.__getitem__, text.translate(_SPACES).split(" ")))
+        return b"".join(map(self.units.__getitem__, _spaced(text).split(" ")))
 
     def _unit(self, unit: str) -> bytes:
-        plain = _PLAIN(unit)
-        if plain and len(unit) <= PIECE:
-            word, marks = plain.groups()
-            return self.words[word.lower()] + (self.words[marks] if marks else b"")
+        word = unit.rstrip(_MARKS)
+        if word.isascii() and word.isalpha() and len(unit) <= PIECE or _PLAIN(word) and len(unit) <= PIECE:
+            ids = self.words[word.lower()]
+            return ids if len(word) == len(unit) else ids + self.words[unit[len(word) :]]
         if len(unit) <= PIECE:
             return _packed(self.whole.encode(unit, add_special_tokens=False).ids)
         return b"".join(
@@ -92,10 +102,13 @@ class Codec:
                 else:
                     yield normal
 
+    def pre_token(self, word: str) -> str:
+        return self.whole.pre_tokenizer.pre_tokenize_str(word)[0][0] if self.whole.pre_tokenizer else word
+
     def _word(self, word: str) -> bytes:
-        """One pre-token of plain letters or marks; bytes above 127 need the model's alphabet."""
+        """One pre-token of plain letters or marks."""
         if not word.isascii():
-            return _packed(self.whole.encode(word, add_special_tokens=False).ids)
+            word = word.translate(self.letters)
         return _packed([t.id for t in self.closing.tokenize(word)])
 
     def long_word(self, word: str) -> bytes:
@@ -142,21 +155,30 @@ class Codec:
         return " ".join(map(self.strings.__getitem__, ids.tolist()))
 
 
+def _spaced(text: str) -> str:
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+
+
 class _Memory(dict):
+    """What was made last, in two generations: what is met again moves to the younger one."""
+
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= 64:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _CODECS: dict[int, Codec] = {}
@@ -182,11 +204,10 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 
 def _lists(encoded: list[bytes]) -> pa.Array:
-    lengths = np.fromiter((len(e) // 4 for e in encoded), np.int64, len(encoded))
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<u4").astype(np.int32))
-    )
+    offsets = np.zeros(len(encoded) + 1, np.int32)
+    np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(encoded))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def encode_column(text: Column, vocabulary: Broadcast) -> Column:
@@ -270,7 +291,7 @@ def _dealt(df: DataFrame, vocabulary: Broadcast, text: str, ids: str) -> DataFra
 def _segments(one: Codec, text: str) -> Iterator[dict]:
     """Runs of whole units, and the pieces of units that are too long for one."""
     segment, start, n = 0, 0, len(text)
-    text = text.translate(_SPACES)
+    text = _spaced(text)
     while start < n:
         end = text.rfind(" ", start, start + 8 * PIECE)
         if n - start <= 8 * PIECE:

@@ -5,6 +5,18 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+from perennia.session import ship_package
+
+#: Bytes of a batch that goes to a Python worker: long texts make large rows, and a worker holds several copies.
+BATCH_BYTES = "8m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: the package on the workers, and small batches."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def temporary(name: str) -> str:
