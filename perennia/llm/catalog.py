@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, language, packing, quality, toxicity
+from perennia.llm import bpe, language, minhash, packing, quality, toxicity
 from perennia.llm.common import prepare
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -108,3 +108,8 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.learn_evidence(rows, model)
     found = language.fuse(rows, model, "likelihoods", F.col("declared"), F.col("host"))
     return found.select("page_id", "host", "declared", "language", "confidence")
+
+
+@query("op2_minhash_dedup")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
