@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, language, minhash, packing, quality, toxicity
+from perennia.llm import bpe, caps, knn, language, minhash, packing, quality, toxicity
 from perennia.llm.common import prepare
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -113,3 +113,49 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_minhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+USABLE_VECTOR = """embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+    and len([x for x in embedding if x <> 0]) > 0"""
+
+
+@query(
+    "op4_nearest_neighbours",
+    f"""
+    with v as (select vec_id, embedding::double[] as e from embeddings where vec_id is not null and {USABLE_VECTOR}),
+    pairs as (
+        select q.vec_id as query_id, c.vec_id,
+            sqrt(list_sum([(x[1] - x[2]) * (x[1] - x[2]) for x in list_zip(q.e, c.e)])) as score
+        from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0
+    )
+    select query_id, cast(row_number() over (partition by query_id order by score, vec_id) as integer) as rank, vec_id, score
+    from pairs qualify rank <= 10
+    """,
+)
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query(
+    "op5_cap_dedup",
+    f"""
+    with recursive v as (
+        select vec_id, label, embedding::double[] as e from embeddings
+        where vec_id is not null and label is not null and {USABLE_VECTOR}
+    ),
+    links as (
+        select a.vec_id as a, b.vec_id as b from v a join v b
+        on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+        where list_cosine_similarity(a.e, b.e) >= 0.98
+    ),
+    reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+    roots as (select a, least(a, min(b)) as root from reach group by a),
+    counts as (select a, count(*) as n from links group by a)
+    select e.vec_id, coalesce(n, 0)::bigint as n_links, coalesce(root, e.vec_id) as component_id,
+        coalesce(root, e.vec_id) = e.vec_id as kept
+    from embeddings e left join roots on roots.a = e.vec_id left join counts on counts.a = e.vec_id
+    """,
+)
+def near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
