@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, caps, knn, language, minhash, packing, quality, toxicity
+from perennia.llm import bpe, caps, knn, language, minhash, packing, quality, toxicity, warc
 from perennia.llm.common import prepare
+from perennia.sources.scratch import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -159,3 +160,27 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query(
+    "op7_warc",
+    """
+    with p as (
+        select page_id, encode(coalesce(html, '')) as body, sha1(coalesce(html, '')) as h from pages
+    ),
+    kept as (select h, max(page_id) as largest from p group by h)
+    select page_id, octet_length(body)::bigint as payload_bytes,
+        array_to_string([
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((cast('0x' || substr(p.h, 5 * (i // 4) + 1, 5) as integer)
+                >> (15 - 5 * (i % 4))) & 31) + 1, 1)
+            for i in range(32)], '') as payload_digest,
+        case when page_id = largest then 'response' else 'revisit' end as record_type,
+        case when page_id <> largest then largest end as refers_to
+    from p join kept using (h)
+    """,
+)
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.with_revisits(table(spark, sf_dir, "pages"))
+    packages = warc.write(rows, scratch_path(spark, "warc"))
+    records = warc.read(warc.located(packages), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
