@@ -32,7 +32,7 @@ PIECE = 2048
 #: Characters of a text from which its pieces are dealt out over the tasks.
 LONG = 65536
 #: Units, and words, in each of the two generations that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: Bytes of a vocabulary file; it is sent to every worker.
 VOCABULARY_BYTES = 64 << 20
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, caps, knn, language, minhash, packing, quality, toxicity, warc
+from perennia.llm import bpe, caps, knn, language, licenses, minhash, packing, quality, toxicity, warc
 from perennia.llm.common import prepare
 from perennia.sources.scratch import scratch_path
 
@@ -184,3 +185,14 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     packages = warc.write(rows, scratch_path(spark, "warc"))
     records = warc.read(warc.located(packages), with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.find(docs, licenses.learn(docs))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from perennia.session import ship_package
 
 #: Bytes of a batch that goes to a Python worker: long texts make large rows, and a worker holds several copies.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def prepare(spark: SparkSession) -> None:
