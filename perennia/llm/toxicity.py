@@ -174,8 +174,8 @@ def fit_label_model(votes: np.ndarray, unlabelled: np.ndarray, known: np.ndarray
     """Expectation maximisation over counted combinations.
 
     votes: (combinations, voters) of 0 and 1; unlabelled: rows with each; known: rows labelled 0 and 1 with each.
-    Without labels, voters are taken to be more frequent among toxic texts.  Accuracies come first, then the
-    dependences that remain within the classes, then both together.
+    Without labels, voters are taken to be more frequent among toxic texts.  Dependences within the classes are
+    looked for soon and once more when the accuracies have settled.
     """
     voters = votes.shape[1]
     fired = votes.any(axis=1)
@@ -184,7 +184,7 @@ def fit_label_model(votes: np.ndarray, unlabelled: np.ndarray, known: np.ndarray
     model = None
     for turn in range(rounds):
         weights = np.stack([(1 - belief) * unlabelled + known[:, 0], belief * unlabelled + known[:, 1]], axis=1)
-        if turn == rounds // 2:
+        if turn in (2, rounds // 2):  # early, else two voters that agree would become the class
             parents = _tree(votes, weights)
         tables = np.full((voters, 2, 2), 0.5)
         for v, parent in enumerate(parents):

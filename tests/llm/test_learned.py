@@ -1,0 +1,190 @@
+"""Classifiers on held-out rows, and their odd inputs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from perennia.llm import language, licenses, quality, toxicity
+from perennia.llm.catalog import QUERIES, table
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize(("name", "label", "enough"), [("op1_quality", "quality", 0.97), ("op8_toxicity", "toxic", 0.8)])
+def test_held_out_accuracy(spark, name, label, enough):
+    scored = QUERIES[name](spark, FOLDER).toPandas()
+    assert len(scored) == table(spark, FOLDER, "documents").count()
+    assert scored["score"].between(0, 1).all()
+    rows = scored.merge(table(spark, FOLDER, "labels").toPandas(), on="doc_id")
+    rows = rows[rows["held_out"]]
+    one, zero = rows[rows[label] == 1]["score"].to_numpy(), rows[rows[label] == 0]["score"].to_numpy()
+    area = ((one[:, None] > zero[None]) + 0.5 * (one[:, None] == zero[None])).mean()
+    assert area >= enough
+
+
+def label_rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, score string")
+
+
+@pytest.fixture(scope="module")
+def odd(make_docs):
+    words = "the of and house tree river walks under some light with green stone".split()
+    source = random.Random(4)
+    rows = []
+    for k in range(60):
+        text = " ".join(source.choice(words) for _ in range(30)) + "."
+        if k % 4 == 0:
+            text += " you idiot, stupid moron!!"
+        rows.append((k, text))
+    rows += [(100, None), (101, ""), (102, " \n "), (103, "word " * 60000), (None, "a text without id"), (5, rows[5][1])]
+    return rows
+
+
+def test_quality_odd_rows(spark, make_docs, odd):
+    labels = [(k, int(k % 3 > 0), 0, "x") for k in range(40)] + [(None, 1, 1, "x"), (41, None, None, "x"), (42, 7, 7, "x"), (2, 0, 0, "x")]
+    got = quality.score_documents(make_docs(odd), label_rows(spark, labels)).collect()
+    assert len(got) == len(odd) and all(0 <= r.score <= 1 for r in got)
+    again = quality.score_documents(make_docs(odd).repartition(3), label_rows(spark, labels)).collect()
+    assert sorted((r.doc_id or -1, round(r.score, 6)) for r in got) == sorted((r.doc_id or -1, round(r.score, 6)) for r in again)
+    none = quality.score_documents(make_docs(odd), label_rows(spark, [])).collect()
+    assert {r.score for r in none} == {0.5}
+    assert quality.score_documents(make_docs([]).limit(0), label_rows(spark, labels)).count() == 0
+
+
+def test_monotone_values_are_the_closest():
+    source = np.random.default_rng(0)
+    counts = source.integers(0, 5, 40).astype(float)
+    ones = np.minimum(counts, source.integers(0, 5, 40)).astype(float)
+    got = quality.monotone(ones, counts)
+    assert (np.diff(got) >= -1e-12).all()
+    used = counts > 0
+    # blocks of equal value hold their mean, which is what least squares asks for
+    for value in np.unique(got[used].round(12)):
+        own = used & (abs(got - value) < 1e-9)
+        assert abs(ones[own].sum() / counts[own].sum() - value) < 1e-9
+
+
+def test_fourier_features_approximate_the_kernel():
+    random_ = np.random.default_rng(1)
+    x = random_.normal(size=(30, quality.STATISTICS))
+    model = quality.QualityModel(
+        np.zeros(quality.STATISTICS), np.ones(quality.STATISTICS),
+        random_.normal(size=(quality.STATISTICS, 20000)) / quality.WIDTH, random_.uniform(0, 2 * np.pi, 20000),
+        np.zeros(1), 0, 1, np.zeros(1),
+    )
+    z = quality.cosines(x, model)[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * quality.WIDTH**2))
+    assert abs(z @ z.T - exact).max() < 0.05
+
+
+def test_toxicity_odd_rows(spark, make_docs, odd):
+    labels = [(k, 1, int(k % 4 == 0), "x") for k in range(48)] + [(None, 1, 1, "x"), (49, None, None, "x"), (3, 0, 0, "x")]
+    got = toxicity.score_documents(make_docs(odd), label_rows(spark, labels)).collect()
+    assert len(got) == len(odd) and all(0 <= r.score <= 1 for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert min(score[k] for k in range(0, 60, 4)) > 0.7 > max(score[k] for k in range(60) if k % 4)
+    assert score[100] == score[101] < 0.5
+    unlabelled = {r.doc_id: r.score for r in toxicity.score_documents(make_docs(odd), label_rows(spark, [])).collect()}
+    assert min(unlabelled[k] for k in range(0, 60, 4)) > max(unlabelled[k] for k in range(60) if k % 4)
+    assert toxicity.score_documents(make_docs([]).limit(0), label_rows(spark, labels)).count() == 0
+    model, _ = toxicity.fit(make_docs(odd), label_rows(spark, labels))
+    kept = toxicity.drop_toxic(make_docs(odd), model)
+    assert kept.columns == make_docs(odd).columns and kept.count() == len(odd) - 15
+
+
+def test_label_model_finds_accuracies_and_correlation():
+    source = np.random.default_rng(5)
+    y = source.random(40000) < 0.1
+    votes = np.stack([source.random(40000) < np.where(y, p, q) for p, q in ((0.8, 0.02), (0.6, 0.01), (0.7, 0.05), (0.5, 0.02))], axis=1)
+    votes = np.hstack([votes, votes[:, :1]]).astype(np.int64)  # the last voter copies the first
+    rows, counts = np.unique(votes, axis=0, return_counts=True)
+    known = np.zeros((len(rows), 2))
+    model = toxicity.fit_label_model(rows, counts.astype(float), known)
+    assert abs(model.prior - y.mean()) < 0.03
+    assert model.parents[0] == 4 or model.parents[4] == 0
+    assert ((model.posterior(votes) > 0.5) == y).mean() > 0.97
+
+
+def test_language(spark, make_docs):
+    english = "the house of the river and that tree is with the other"
+    german = "das haus und der fluss ist nicht mit dem anderen baum"
+    pairs = [(k, (english if k % 2 else german) + f" number {k}") for k in range(60)]
+    langs = ["en" if k % 2 else "de" for k in range(60)]
+    pairs += [(100, None), (101, ""), (102, "12345 !!"), (103, english), (None, german), (3, pairs[3][1])]
+    langs += ["en", "de", None, "de", None, "en"]
+    docs = make_docs(pairs, langs)
+    args = (F.col("text"), F.col("lang"), F.col("source"))
+    model = language.learn_text(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    assert model.languages == ["de", "en"]
+    model = language.learn_evidence(language.evidence(docs, model, *args), model)
+    got = language.identify(docs.withColumn("language", F.lit("clash")), model, *args)
+    assert set(got.columns) == set(docs.columns) | {"language", "confidence"}
+    found = {r.doc_id: (r.language, r.confidence) for r in got.collect()}
+    assert len(got.collect()) == len(pairs)
+    assert all(found[k][0] == ("en" if k % 2 else "de") for k in range(60))
+    assert found[103][0] == "en"  # the text outweighs a wrong declaration
+    assert found[None][0] == "de" and found[100][0] in ("en", "de")
+    empty = docs.limit(0)
+    nothing = language.learn_text(empty, F.col("text"), F.col("lang"), F.col("doc_id"))
+    assert nothing.languages == [] and language.identify(empty, nothing, *args).count() == 0
+
+
+def test_host_priors_are_smoothed(spark):
+    rows = [([0.0, -9.0], None, "a.x.org")] * 50 + [([-9.0, 0.0], None, "b.y.net")] * 50 + [([0.0, -9.0], "xx", None)]
+    model = language.LanguageModel(["de", "en"], np.zeros((2, 4)), np.full(2, 0.5))
+    table_ = spark.createDataFrame(rows, "likelihoods array<double>, declared string, host string")
+    model = language.learn_evidence(table_, model)
+    priors = {r.host: np.exp(r.prior) for r in model.hosts.collect()}
+    assert priors["a.x.org"][0] > 0.9 and priors["b.y.net"][1] > 0.9
+    assert all(abs(sum(p) - 1) < 1e-9 for p in priors.values())
+
+
+def test_markup(spark):
+    html = '<html lang="fr-CA"><style>p{}</style><script>var t="</p>";</script><!-- x --><p>Bonjour &amp; salut</p>'
+    rows = [(html, "https://user@Sub.Example.ORG:8080/x"), (None, None), ("plain", "no address")]
+    frame = spark.createDataFrame(rows, "html string, url string").select(
+        F.trim(language.text_of_markup(F.col("html"))).alias("t"), language.declared_in_markup(F.col("html")).alias("d"), language.host_of(F.col("url")).alias("h")
+    )
+    first, second, third = frame.collect()
+    assert first.t.split() == ["Bonjour", "salut"] and first.d == "fr" and first.h == "sub.example.org"
+    assert tuple(second) == (None, None, None) and tuple(third) == ("plain", None, None)
+
+
+@pytest.fixture(scope="module")
+def license_model(spark):
+    return licenses.learn(table(spark, FOLDER, "documents"))
+
+
+def test_license_rows(spark, make_docs, license_model):
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [
+        (1, f"Some text.\n\n{notice}\nmore"), (1, f"Some text.\n\n{notice}\nmore"), (2, None), (3, ""), (4, "the the of\nand"),
+        (None, "Released under the MIT License."), (5, "x " * 50000 + "\n" + "This work is licensed under the GNU General Public License, version 3."),
+        (6, "You need a driving license for this."), (7, "Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0."),
+    ]
+    got = licenses.find(make_docs(rows), license_model).collect()
+    assert sorted(((r.doc_id, r.paragraph, r.family) for r in got if r.confirmed), key=str) == sorted(
+        [(1, 2, "Apache-2.0"), (1, 2, "Apache-2.0"), (None, 0, "MIT"), (5, 1, "GPL-3.0"), (7, 0, "CC-BY-4.0"), (7, 1, "CC-BY-NC-4.0")], key=str
+    )
+    assert licenses.find(make_docs([]).limit(0), license_model).count() == 0
+
+
+def test_license_notices_are_found(spark, license_model):
+    docs = table(spark, FOLDER, "documents")
+    got = {(r.doc_id, r.paragraph) for r in licenses.find(docs, license_model).collect() if r.confirmed}
+    want = {
+        (r.doc_id, k)
+        for r in docs.collect()
+        for k, line in enumerate((r.text or "").split("\n"))
+        if "icensed under" in line or "under the MIT License" in line or "All rights reserved" in line
+    }
+    assert got == want
+
+
+def test_learning_licenses_from_nothing(spark, make_docs):
+    model = licenses.learn(make_docs([]).limit(0))
+    assert licenses.find(make_docs([(1, "Released under the MIT License.")]), model).first().family == "MIT"
