@@ -112,7 +112,36 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "declared", "language", "confidence")
 
 
-@query("op2_minhash_dedup")
+@query(
+    "op2_minhash_dedup",
+    r"""
+    with recursive words as (
+        select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+') if x <> ''] as w
+        from documents
+    ),
+    shingles as (
+        select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+            else [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] end) as shingle
+        from words
+    ),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    shared as (
+        select a.doc_id as a, b.doc_id as b, count(*) as c
+        from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+    ),
+    links as (
+        select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+        where 100 * c >= 80 * (x.n + y.n - c)
+    ),
+    edges as (select a, b from links union all select b, a from links),
+    reach(a, b) as (select a, b from edges union select r.a, l.b from reach r join edges l on r.b = l.a),
+    roots as (select a, least(a, min(b)) as root from reach group by a)
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(root, doc_id) as component_id,
+        coalesce(root, doc_id) = doc_id as kept
+    from documents left join sizes using (doc_id) left join roots on roots.a = doc_id
+    """,
+)
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
