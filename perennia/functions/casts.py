@@ -10,15 +10,19 @@ from pyspark.sql import types as T
 
 from perennia.functions.columns import field, is_floating, is_integral, is_text
 
-# A failing try_cast of text costs an exception per row, so text that cannot be a value of
-# the target type is sorted out by its shape first.
+# A failing try_cast of text costs an exception per row, so text that is no value of the
+# target type is sorted out by its whole shape first.
 _WHOLE = r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$"
-_NUMBER_START = r"^\s*[+-]?(?:[0-9.]|(?i:inf|nan))"
+_NUMBER = (
+    r"^[\x00-\x20]*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[dDfF]?"
+    r"|0[xX](?:[0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[dDfF]?"
+    r"|(?i:inf|infinity|nan))[\x00-\x20]*$"
+)
 _SHORTEST_DATE = len("2000-1-1")
 
 
 def text_to_double(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER_START), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def text_to_whole(text: Column, target: T.DataType | str = "int") -> Column:
@@ -27,8 +31,10 @@ def text_to_whole(text: Column, target: T.DataType | str = "int") -> Column:
     return F.when(digits != "", digits.try_cast(target))
 
 
-def text_to_date(text: Column) -> Column:
-    """Dates written year-month-day."""
+def text_to_date(text: Column, pattern: str | None = None) -> Column:
+    """Dates written year-month-day, or in a datetime pattern; null for other texts."""
+    if pattern is not None:
+        return F.to_date(F.try_to_timestamp(text, F.lit(pattern)))
     return F.when(F.length(F.trim(text)) >= _SHORTEST_DATE, text.try_cast("date"))
 
 

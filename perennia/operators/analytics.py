@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.functions import exact_mean, field, is_text, present_double, to_int, year_at_most
+from perennia.functions import exact_means, field, is_text, present_double, to_int, year_at_most
 from perennia.operators.ranking import rank_in_group, top_k, top_k_per_group
 
 
@@ -22,10 +22,11 @@ def group_avg(
     """Mean of a measure per group; null where a group has no value.
 
     ``exact`` makes the mean independent of the order in which rows arrive, to the last
-    bit, which comparisons between groups need.
+    bit, which comparisons between groups need.  Texts that are no number do not count.
     """
-    mean = exact_mean(df, measure) if exact else F.avg(present_double(df, measure))
-    return df.groupBy(*[field(k) for k in keys]).agg(mean.alias(name))
+    if exact:
+        return exact_means(df, keys, present_double(df, measure), name)
+    return df.groupBy(*[field(k) for k in keys]).agg(F.avg(present_double(df, measure)).alias(name))
 
 
 def dedup_latest(

@@ -20,7 +20,7 @@ from perennia.operators import analytics, clean, features, mlp, models, outliers
 from perennia.operators import split, stats
 from perennia.session import ship_package
 from perennia.sources import files, schema, sinks
-from perennia.sources.scratch import scratch_path
+from perennia.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,7 +90,7 @@ MEASURES = ["user_id", "value", "energy", "is_error"]
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem with a label that follows from other columns, split by order."""
     price = F.col("l_extendedprice") / 1000
-    rows = files.spread(table(spark, sf_dir, "lineitem")).select(
+    rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_quantity",
@@ -101,7 +101,8 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
         (price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("charge"),
     )
-    return split.split_labels(rows, ["l_orderkey"], (0.8, 0.2), 66)
+    # models pass over the rows many times: they are read, computed and split once
+    return stored(split.split_labels(rows, ["l_orderkey"], (0.8, 0.2), 66))
 
 
 CONTINUOUS = ["l_quantity", "price", "l_discount", "l_tax"]
@@ -200,6 +201,17 @@ def extreme_avg_groups_lowest(spark, sf_dir):
     return top.withColumn("avg_size", rounded("avg_size"))
 
 
+@query
+def extreme_avg_groups_floating(spark, sf_dir):
+    """A measure with tiny values, and with infinite ones in some groups; a group per supplier."""
+    tiny = F.col("l_quantity") * F.lit(2.0**-40)
+    measure = F.when(F.col("l_suppkey") % 50 == 7, float("inf")).otherwise(tiny)
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", measure.alias("measure"))
+    top = analytics.extreme_groups_by_avg(rows, 1, group="l_suppkey", measure="measure", name="avg_measure")
+    low = analytics.extreme_groups_by_avg(rows, -3, group="l_suppkey", measure="measure", name="avg_measure")
+    return files.union_all([top.withColumn("highest", F.lit(True)), low.withColumn("highest", F.lit(False))])
+
+
 @query
 def dedup_latest(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem").select(
@@ -276,9 +288,14 @@ def multi_file_scan(spark, sf_dir):
     name = F.concat(prefix, F.lit("orders_"), F.lpad((year % 100).cast("string"), 2, "0"))
     kept = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
     folder = scratch_path(spark, "snapshots")
-    sinks.write_csv(table(spark, sf_dir, "orders").select(*kept, name.alias("snapshot")), folder, ["snapshot"])
+    straight = table(spark, sf_dir, "orders").filter(year != 1996).select(*kept, name.alias("snapshot"))
+    sinks.write_csv(straight, folder, ["snapshot"])
+    # beside them, a text that is no snapshot; snapshots of some years have their columns in another order
+    table(spark, sf_dir, "region").select("r_name").write.mode("append").text(f"{folder}/snapshot=orders_95")
+    turned = table(spark, sf_dir, "orders").filter(year == 1996).select(*kept[::-1], name.alias("snapshot"))
+    sinks.write_csv(turned, f"{folder}-turned", ["snapshot"])
     ddl = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string"
-    return files.read_snapshots(spark, f"{folder}/snapshot=*", ddl)
+    return files.read_snapshots(spark, [f"{folder}/snapshot=*", f"{folder}-turned/snapshot=*"], ddl)
 
 
 @query
@@ -340,7 +357,7 @@ def preview_top_rows(spark, sf_dir):
 
 @query
 def schema_profile(spark, sf_dir):
-    return sinks.schema_profile(gappy_events(spark, sf_dir))
+    return sinks.schema_profile(gappy_events(spark, sf_dir), counts=True)
 
 
 # --- quality and cleaning ---------------------------------------------------------------
@@ -469,6 +486,12 @@ WIDE = [
 ]
 
 
+WIDE_ODD = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "even", "constant_if_even", "gap", "endless_in_gap",
+]
+
+
 @query
 def correlation_matrix_wide(spark, sf_dir):
     """More pairs than one aggregate should hold, with gaps in two columns."""
@@ -485,6 +508,22 @@ def correlation_matrix_wide(spark, sf_dir):
     return stats.correlation_matrix(lineitem, WIDE).withColumn("r", rounded("r", 8))
 
 
+@query
+def correlation_matrix_odd(spark, sf_dir):
+    """A pair that is constant on the rows it shares, and an infinity beside a gap."""
+    line = F.col("l_linenumber")
+    columns = {c: F.col(c) for c in WIDE_ODD[:-4]}
+    columns["even"] = F.when(line % 2 == 0, F.col("l_quantity"))
+    columns["constant_if_even"] = F.when(line % 2 == 0, 1e6 + 0.1).otherwise(F.col("l_extendedprice"))
+    columns["gap"] = F.when(line != 3, F.col("l_discount"))
+    columns["endless_in_gap"] = F.when(line == 3, float("inf")).when(line % 2 == 0, F.col("l_tax"))
+    rows = table(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
+    ship_package(spark)
+    matrix = stats.correlation_matrix(rows, WIDE_ODD)
+    odd = F.col("a").isin(WIDE_ODD[-4:]) & F.col("b").isin(WIDE_ODD[-4:])
+    return matrix.filter(odd).withColumn("r", rounded("r", 8))
+
+
 # --- split, features, models ---------------------------------------------------------------
 
 

@@ -194,6 +194,16 @@ SQL: dict[str, str] = {
           select p_brand, avg(p_size) as avg_size, rank() over (order by avg(p_size)) as r
           from part where p_type = 'ECONOMY' group by p_brand)
         where r <= 5""",
+    "extreme_avg_groups_floating": """
+        with src as (
+          select l_suppkey, avg(case when l_suppkey % 50 = 7 then 'infinity'::double
+                                     else l_quantity * power(2::double, -40) end) as avg_measure
+          from lineitem group by l_suppkey)
+        select l_suppkey, avg_measure, true as highest from src
+        where avg_measure = (select max(avg_measure) from src)
+        union all
+        select l_suppkey, avg_measure, false as highest from (
+          select *, rank() over (order by avg_measure) as r from src) where r <= 3""",
     "dedup_latest": """
         select l_partkey, l_orderkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
                strftime(l_shipdate, '%Y-%m-%d') as l_shipdate
@@ -358,6 +368,21 @@ SQL: dict[str, str] = {
         WIDE,
         8,
     ),
+    "correlation_matrix_odd": """
+        with src as (
+          select case when l_linenumber % 2 = 0 then l_quantity end as even,
+                 case when l_linenumber % 2 = 0 then 1000000.1::double else l_extendedprice end as constant_if_even,
+                 case when l_linenumber <> 3 then l_discount end as gap,
+                 case when l_linenumber % 2 = 0 then l_tax end as endless_in_gap
+          from lineitem),
+        r as (
+          select 'even' as a, 'constant_if_even' as b, null::double as r
+          union all select 'even', 'gap', corr(even, gap) from src
+          union all select 'even', 'endless_in_gap', corr(even, endless_in_gap) from src
+          union all select 'constant_if_even', 'gap', corr(constant_if_even, gap) from src
+          union all select 'constant_if_even', 'endless_in_gap', null
+          union all select 'gap', 'endless_in_gap', corr(gap, endless_in_gap) from src)
+        select a, b, round(r, 8) + 0.0::double as r from r""",
     "hash_split": """
         select o_orderkey,
                case when ('0x' || substr(md5(concat_ws(':', o_orderkey::varchar, '66')), 1, 8))::bigint

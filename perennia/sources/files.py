@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -48,10 +49,44 @@ def snapshot_gender(name: Column) -> Column:
 def read_snapshots(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, **options: object
 ) -> DataFrame:
-    """All snapshots under a glob in one scan, with ``year`` and ``gender`` from their names."""
-    rows = read_csv(spark, path, schema, **options)
+    """All snapshots under a folder or glob, with ``year`` and ``gender`` from their names.
+
+    Only ``.csv`` files are read.  Columns are found by the names in each file's header: files
+    of one header are one scan, and a column that a file does not have is null in its rows;
+    a column that the schema does not name is left out.  Only the headers are read ahead.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    paths = [path] if isinstance(path, str) else list(path)
+    named = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True).load(paths)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in named.select("path").collect():  # the names of the files
+        by_header.setdefault(_header(spark, row["path"], str(options.get("sep", ","))), []).append(row["path"])
+    if not by_header:
+        by_header = {tuple(wanted.names): []}
+    types = {f.name: f.dataType for f in wanted}
     name = snapshot_name()
-    return rows.select("*", snapshot_year(name).alias("year"), snapshot_gender(name).alias("gender"))
+    scans = []
+    for header, files in sorted(by_header.items()):
+        own = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+        rows = read_csv(spark, files, own, **options) if files else spark.createDataFrame([], own)
+        file = name if files else F.lit("")
+        columns = [
+            (F.col(f"`{c}`") if c in header else F.lit(None).cast(types[c])).alias(c) for c in wanted.names
+        ]
+        scans.append(rows.select(*columns, snapshot_year(file).alias("year"), snapshot_gender(file).alias("gender")))
+    return union_all(scans)
+
+
+def _header(spark: SparkSession, path: str, separator: str) -> tuple[str, ...]:
+    """Names in the first line of a file, through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=separator), []))
 
 
 def union_all(frames: Sequence[DataFrame], by_name: bool = True) -> DataFrame:
@@ -62,12 +97,3 @@ def union_all(frames: Sequence[DataFrame], by_name: bool = True) -> DataFrame:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return reduce(DataFrame.union, frames)
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A table scan with at least a task per core, for work that passes over it many times.
-
-    Few large row groups would leave cores idle.  A table read by enough tasks, as any
-    large one is, comes back as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

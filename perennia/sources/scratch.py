@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not root and context.getCheckpointDir():
         root = context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="perennia-")
     if not context.getCheckpointDir():

@@ -34,8 +34,14 @@ def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 20) -> Dat
     return df.orderBy(*order_by).limit(n)
 
 
-def schema_profile(df: DataFrame) -> DataFrame:
-    """(column_name, missing, data_type, nullable, position) for every column, in one pass."""
+def schema_profile(df: DataFrame, counts: bool = False) -> DataFrame:
+    """(column_name, data_type, nullable, position) for every column, without reading the table.
+
+    With ``counts`` also the number of missing values, in one pass.
+    """
+    if not counts:
+        rows = [(f.name, f.dataType.simpleString(), f.nullable, k) for k, f in enumerate(df.schema, 1)]
+        return df.sparkSession.createDataFrame(rows, "column_name string, data_type string, nullable boolean, position int")
     described = {
         f.name: {
             "data_type": F.lit(f.dataType.simpleString()),
@@ -44,5 +50,5 @@ def schema_profile(df: DataFrame) -> DataFrame:
         }
         for position, f in enumerate(df.schema, 1)
     }
-    counts = {name: F.count_if(missing(df, name)) for name in df.columns}
-    return one_row_per_column(df, counts, "missing", labels=described)
+    found = {name: F.count_if(missing(df, name)) for name in df.columns}
+    return one_row_per_column(df, found, "missing", labels=described)

@@ -136,3 +136,14 @@ def test_grouped_counts_and_means(spark):
     frame = spark.createDataFrame([("a", 1.5), ("a", float("nan")), ("a", 2.5), ("b", None)], "g string, v double")
     assert unordered(analytics.group_count(frame, "g")) == [("a", 3), ("b", 1)]
     assert unordered(analytics.group_avg(frame, ["g"], "v")) == [("a", 2.0), ("b", None)]
+
+
+def test_extreme_averages_of_floating_and_text_measures(spark):
+    rows_ = [("a", 1e-13), ("b", 4e-13), ("c", 2e-13), ("d", float("inf")), ("e", 1e27), ("f", None), ("g", float("nan"))]
+    frame = spark.createDataFrame(rows_, "g string, v double")
+    top = analytics.extreme_groups_by_avg(frame, 1, group="g", measure="v")
+    assert [tuple(r) for r in top.collect()] == [("d", float("inf"))]
+    low = analytics.extreme_groups_by_avg(frame, -1, group="g", measure="v")
+    assert [tuple(r) for r in low.collect()] == [("a", 1e-13)]
+    texts = spark.createDataFrame([("a", "1.5"), ("a", "NA"), ("b", "0.5"), ("c", "x")], "g string, v string")
+    assert [tuple(r) for r in analytics.extreme_groups_by_avg(texts, 1, group="g", measure="v").collect()] == [("a", 1.5)]

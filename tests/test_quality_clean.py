@@ -7,6 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from perennia.functions import encode_map, rating, text_to_double, to_int
+from perennia.functions.casts import text_to_date
 from perennia.operators import clean, quality
 
 
@@ -114,3 +115,20 @@ def test_codes_and_casts(spark):
     assert rows(cast) == [(12, 1.5, None), (None, None, "2020-02-29")]
     encoded = clean.encode_columns(frame, {"foot": {"Right": 1, "Left": 0}})
     assert [r.foot for r in encoded.collect()] == [1, 0, None, None]
+
+
+NUMBERS = """1 -1 +1 1.5 .5 5. 1e3 1E-3 1.e2 1d 1.5f 0x1p3 0x.8p1 inf -inf Infinity nan NaN 007 1_000 1,5 79+3 60-2
+1996-01-02 1.2.3 . - + e5 1e 0x12 12a a12 infinit nano NA 1e400 --1 +-1 0xp1 1D2 ٣""".split()
+
+
+def test_text_that_is_a_number(spark):
+    texts = [*NUMBERS, "", " ", " 1 ", "\t2\n", "1 2", "- 1", "\x003"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", text_to_double(F.col("t")).alias("a"), F.col("t").try_cast("double").alias("b")).collect()
+    assert [(r.t, r.a) for r in got if str(r.a) != str(r.b)] == []
+
+
+def test_date_patterns(spark):
+    frame = spark.createDataFrame([("31/01/2020",), ("2020-01-31",), ("x",), (None,)], "t string")
+    got = frame.select(text_to_date(F.col("t"), "dd/MM/yyyy").cast("string").alias("d")).collect()
+    assert [r.d for r in got] == ["2020-01-31", None, None, None]

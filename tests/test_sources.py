@@ -105,8 +105,10 @@ def test_jdbc_options():
 
 def test_schema_profile_and_preview(spark):
     frame = spark.createDataFrame([(1, "NA", 1.0), (2, None, float("nan")), (3, "x", None)], "i int, s string, d double")
-    profile = {r.column_name: (r.missing, r.data_type, r.position) for r in sinks.schema_profile(frame).collect()}
+    profile = {r.column_name: (r.missing, r.data_type, r.position) for r in sinks.schema_profile(frame, counts=True).collect()}
     assert profile == {"i": (0, "int", 1), "s": (2, "string", 2), "d": (2, "double", 3)}
+    plain = sinks.schema_profile(frame)
+    assert [tuple(r) for r in plain.collect()][0] == ("i", "int", True, 1) and "missing" not in plain.columns
     top = sinks.preview(frame, [F.desc("i")], 2)
     assert [r.i for r in top.collect()] == [3, 2]
     assert "TakeOrderedAndProject" in plan(top)
@@ -118,3 +120,13 @@ def test_scratch_paths_are_new_and_in_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         assert a.startswith(named.rstrip("/"))
+
+
+def test_snapshots_by_name_and_csv_only(spark, tmp_path):
+    (tmp_path / "players_15.csv").write_text("id,name,age\n1,a,20\n2,b,21\n")
+    (tmp_path / "female_players_16.csv").write_text("age,id,extra\n30,3,x\n")
+    (tmp_path / "readme.md").write_text("some text, and more\n")
+    (tmp_path / "notes.txt").write_text("id,name\n")
+    got = files.read_snapshots(spark, str(tmp_path), "id int, name string, age int")
+    assert got.columns == ["id", "name", "age", "year", "gender"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 20, 2015, "M"), (2, "b", 21, 2015, "M"), (3, None, 30, 2016, "F")]
