@@ -650,6 +650,18 @@ def decision_tree(spark, sf_dir):
     return _metrics(models.score(models.fit_tree(prepared.filter("split = 'train'")), prepared, ["split"]))
 
 
+@query
+def decision_tree_cells(spark, sf_dir):
+    """Features of few values, 42 cells: a tree deep enough predicts the mean of each cell's train rows."""
+    cells = ["l_linenumber", "l_returnflag", "l_linestatus"]
+    rows = charges(spark, sf_dir).withColumns({f"cell_{c}": F.col(c) for c in cells})
+    pipeline = features.feature_pipeline(["l_linenumber"], NOMINAL, "charge")
+    prepared = pipeline.fit(rows.filter("split = 'train'")).transform(rows)
+    tree = models.fit_tree(prepared.filter("split = 'train'"))
+    scored = models.score(tree, prepared.filter("split = 'train'"), [f"cell_{c}" for c in cells]).toDF(*cells, "target", "prediction")
+    return scored.groupBy(*cells).agg(F.count("*").alias("n"), rounded(F.avg("prediction"), 6).alias("prediction"))
+
+
 def _trained(spark, sf_dir, config):
     ship_package(spark)
     prepared = prepared_charges(spark, sf_dir, with_mean=True)

@@ -383,6 +383,10 @@ SQL: dict[str, str] = {
           union all select 'constant_if_even', 'endless_in_gap', null
           union all select 'gap', 'endless_in_gap', corr(gap, endless_in_gap) from src)
         select a, b, round(r, 8) + 0.0::double as r from r""",
+    "decision_tree_cells": f"""
+        with charges as ({CHARGES})
+        select l_linenumber, l_returnflag, l_linestatus, count(*) as n, round(avg(charge), 6) as prediction
+        from charges where split = 'train' group by all""",
     "hash_split": """
         select o_orderkey,
                case when ('0x' || substr(md5(concat_ws(':', o_orderkey::varchar, '66')), 1, 8))::bigint
