@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perennia.llm.common import batch
-from perennia.llm.components import components
+from perennia.llm.components import components, forest
 from perennia.llm.vectors import in_blocks, matrix, usable
 from perennia.sources.scratch import stored
 
@@ -108,18 +108,6 @@ def links_in_cell(vectors: np.ndarray, own: np.ndarray, apart: bool, earlier: np
     return linked & (own[:, None] != own[None, :]) if apart else linked
 
 
-def _forest(linked: np.ndarray) -> np.ndarray:
-    """The least member reachable within the cell."""
-    roots = np.arange(len(linked))
-    while True:
-        low = np.where(linked, roots[None, :], len(linked)).min(axis=1, initial=len(linked))
-        new = np.minimum(roots, low)
-        new = np.minimum(new, new[new])
-        if (new == roots).all():
-            return roots
-        roots = new
-
-
 def _compared(members: DataFrame, least: float) -> DataFrame:
     """For each cell: (rep, links, other), links counted in copies; other is a linked class or null."""
 
@@ -137,7 +125,7 @@ def _compared(members: DataFrame, least: float) -> DataFrame:
         if not len(some):
             return None
         order = np.argsort(reps, kind="stable")  # the least place is the least class
-        roots = reps[order][_forest(linked[np.ix_(order, order)])]
+        roots = reps[order][forest(linked[np.ix_(order, order)])]
         other = np.empty_like(roots)
         other[order] = roots
         return batch({"rep": pa.array(reps[some]), "links": pa.array((linked @ copies)[some].astype(np.int64)), "other": pa.array(other[some])})

@@ -6,9 +6,9 @@ Two sets of similarity 0.8 meet in no table with a probability of 2e-5, of 0.85
 
 Documents with equal sets are one class.  Classes that share half keys of both collections with another are spread over the
 tables.  In each table's bucket the least class is the centre: every class is first compared with the most similar of its
-centres, on full sets.  Buckets whose classes are then still in several components are searched whole, in cells of
-bounded size: pairs from different components that the sketches do not rule out are compared on full sets as well.
-So a large group of near copies costs a comparison for each, not for each pair, and no link that joins components is skipped.
+centres, on full sets.  Classes of buckets that then still hold several components are compared whole, in cells of
+bounded size: products of 0-1 matrices give the sizes of all intersections of full sets.  A cell returns no more links
+than join its components, so nothing that is shuffled grows with the number of pairs, and no link that joins components is skipped.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perennia.llm.common import batch
-from perennia.llm.components import components
+from perennia.llm.components import components, forest
+from perennia.llm.vectors import in_blocks
 from perennia.sources.scratch import stored
 
 #: Minhashes of a half key, half keys of each collection.
@@ -30,8 +31,10 @@ ROWS, SIDE = 3, 16
 HASHES = 2 * SIDE * ROWS
 #: Sketches of similar sets agree in at least this many of ``HASHES`` bytes (0.8: fewer with probability 1e-8).
 AGREEING = 54
-#: Classes of a bucket, or copies of a set, that one task compares.
+#: Classes of a block, and copies that are compared with one centre at a time.
 CELL = 512
+#: Shingles of a block.
+SHINGLES = 1 << 19
 #: Bits of the filter that tells which texts a comparison does not need.
 FILTER_BITS = 1 << 24
 
@@ -153,78 +156,106 @@ def _star_pairs(tables: DataFrame, classes: DataFrame, percent: int) -> DataFram
     return pairs.groupBy("rep").agg(F.max_by("centre", F.struct("agree", -F.col("centre"))).alias("centre")).select(F.col("rep").alias("a"), F.col("centre").alias("b"))
 
 
-def _open_pairs(tables: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that are in different components and may link, each from one bucket only."""
+def _open_cells(tables: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc, root, cell, own, apart): where the classes meet whose buckets hold several components.
+
+    Components that meet in a bucket are one cluster.  A cluster is dealt into blocks of bounded size, and every two
+    blocks meet in one cell, so each class is sent a few times however many buckets it is in.
+    """
     placed = tables.join(roots.toDF("rep", "root"), "rep", "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
     placed = stored(placed)
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).filter("x <> y")
-    blocks = F.ceil(F.col("m") / CELL).cast("int")
-    members = placed.join(open_.select("bucket", blocks.alias("blocks")), "bucket").join(classes.select("rep", "n", "keys", "sketch"), "rep")
-    # a large bucket is dealt into blocks, and every two blocks meet in one cell
-    members = members.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell")
-    apart = (F.col("own") != F.col("other")).alias("apart")
-    members = members.select(cell, "own", apart, "bucket", "rep", "root", "n", "keys", "sketch")
-    dealt = members.repartition("cell").sortWithinPartitions("cell", "own", "rep")
+    several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    there = placed.join(several, "bucket")
+    members = stored(there.groupBy("rep").agg(F.first("root").alias("root")))
+    clusters = components(there.select(F.col("root").alias("a"), F.col("x").alias("b")).distinct()).toDF("root", "cluster")
+    members = members.join(clusters, "root").join(classes.select("rep", "n"), "rep")
+    sizes = members.groupBy("cluster").agg(
+        F.ceil(F.greatest(F.count("*") / CELL, F.sum("n") / SHINGLES)).cast("int").alias("blocks")
+    )
+    dealt = in_blocks(members.join(sizes, "cluster"), F.col("blocks"), "rep")
+    cell = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")).alias("cell")
+    return dealt.select(F.col("rep").alias("doc"), "root", cell, "own", (F.col("own") != F.col("other")).alias("apart"))
+
+
+def _open_links(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, found on the full sets of each cell; as many as join what is linked there."""
+    wanted = cells.groupBy("doc").agg(F.first("root").alias("root"), F.collect_list(F.struct("cell", "own", "apart")).alias("to"))
+    wanted = stored(wanted)
+    texts = _needed(docs, wanted.select("doc")).join(wanted, "doc")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, text, root, to in zip(*(b[c].to_pylist() for c in ("doc", "text", "root", "to")), strict=True):
+                packed = shingle_set(text, width).tobytes()
+                columns = {c: pa.array([t[c] for t in to], k) for c, k in (("cell", pa.int64()), ("own", pa.int32()), ("apart", pa.bool_()))}
+                columns |= {c: pa.array([v] * len(to), pa.int64()) for c, v in (("doc", doc), ("root", root))}
+                yield batch(columns | {"shingles": pa.array([packed] * len(to), pa.binary())})
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
         for b in batches:
             kept = pa.concat_tables([kept, pa.Table.from_batches([b])]) if kept else pa.Table.from_batches([b])
-            cells = kept["cell"].to_numpy()
-            last = int(np.argmax(cells == cells[-1])) if len(cells) else 0
-            if last >= 4 * CELL:
-                yield _pairs_of(kept.slice(0, last), percent)
-                kept = kept.slice(last).combine_chunks()
-        if kept and len(kept):
-            yield _pairs_of(kept, percent)
-
-    return dealt.mapInArrow(compared, "a long, b long")
-
-
-def _pairs_of(rows: pa.Table, percent: int) -> pa.RecordBatch:
-    """The pairs of whole cells, sorted by cell: each row with the next, the next but one, and so on."""
-    rows = rows.combine_chunks()
-    cell, own, bucket, rep, root, n = (rows[c].to_numpy() for c in ("cell", "own", "bucket", "rep", "root", "n"))
-    apart = rows["apart"].to_numpy(zero_copy_only=False).astype(bool)
-    keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
-    sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(rows), -1)
-    out = [np.empty((0, 2), np.int64)]
-    for step in range(1, len(rows)):
-        same = cell[:-step] == cell[step:]
-        if not same.any():
-            break
-        x = np.flatnonzero(same & (root[:-step] != root[step:]) & (~apart[:-step] | (own[:-step] != own[step:])))
-        y = x + step
-        fits = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-        x, y = x[fits], y[fits]
-        for at in range(0, len(x), 4096):
-            i, j = x[at : at + 4096], y[at : at + 4096]
-            agree = (sketches[i] == sketches[j]).sum(axis=1) >= AGREEING
-            i, j = i[agree], j[agree]
-            if len(i):
-                # the pair belongs to the table of its first equal half keys on either side
-                equal = keys[i] == keys[j]
-                at_i = np.arange(len(i))
-                first = keys[i][at_i, equal[:, :SIDE].argmax(axis=1)]
-                second = keys[i][at_i, SIDE + equal[:, SIDE:].argmax(axis=1)]
-                here = _bucket_numbers(first, second) == bucket[i]
-                out.append(np.stack([np.maximum(rep[i], rep[j]), np.minimum(rep[i], rep[j])], axis=1)[here])
-    pairs = np.concatenate(out)
-    return batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-
-def _bucket_numbers(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The table bucket of two half keys: Spark's xxhash64 of both."""
-    return np.array([_xx(int(b), _xx(int(a), 42)) for a, b in zip(x, y)], np.int64)
-
-
-def _xx(value: int, seed: int) -> int:
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed & (1 << 64) - 1)
-    return digest - (1 << 64) if digest >> 63 else digest
+            kept = yield from whole_cells(kept, False)
+        if kept:
+            yield from whole_cells(kept, True)
+
+    def whole_cells(rows: pa.Table, all_: bool) -> Iterator[pa.RecordBatch]:
+        """Cells are compared; the last one waits for more rows."""
+        cell = rows["cell"].to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)])) if len(cell) else np.array([0])
+        last = len(starts) - 1 if all_ else len(starts) - 2
+        for k in range(last):
+            yield _links_of_cell(rows.slice(starts[k], starts[k + 1] - starts[k]), percent)
+        return rows.slice(starts[max(last, 0)]).combine_chunks()
+
+    spread = texts.select("doc", "text", "root", "to").mapInArrow(
+        sets, "cell long, own int, apart boolean, doc long, root long, shingles binary"
+    )
+    dealt = spread.repartition("cell").sortWithinPartitions("cell", "doc")
+    return stored(dealt.mapInArrow(compared, "a long, b long"))
+
+
+def _links_of_cell(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    docs, roots, own = (rows[c].to_numpy() for c in ("doc", "root", "own"))
+    found: dict[int, tuple[int, np.ndarray]] = {}
+    for k, packed in enumerate(rows["shingles"].to_pylist()):
+        shingles = np.frombuffer(packed, np.uint64)
+        if len(shingles) and (docs[k] not in found or _print(shingles) < _print(found[docs[k]][1])):
+            found[docs[k]] = k, shingles  # of several texts of one id, that of the least fingerprint
+    some = np.array([k for k, _ in found.values()], np.int64)
+    docs, roots, own = docs[some], roots[some], own[some]
+    none = batch({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    apart = roots[:, None] != roots[None, :]
+    if rows["apart"][0].as_py():
+        apart &= own[:, None] != own[None, :]
+    if not apart.any():
+        return none
+    sizes = np.array([len(s) for _, s in found.values()])
+    both = _shared([s for _, s in found.values()])
+    linked = apart & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
+    order = np.argsort(docs, kind="stable")
+    least = docs[order][forest(linked[np.ix_(order, order)])]
+    joined = least != docs[order]
+    return batch({"a": pa.array(docs[order][joined]), "b": pa.array(least[joined])}) if joined.any() else none
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements every two sets share: products of 0-1 matrices, over the elements that several sets have."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(counts > 1) - 1
+    several = counts[column] > 1
+    rows, column = rows[several], number[column[several]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    total = np.zeros((len(sets), len(sets)))
+    last = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, last, 2048):
+        start, stop = np.searchsorted(column, [at, at + 2048])
+        held = np.zeros((len(sets), 2048), np.float32)
+        held[rows[start:stop], column[start:stop] - at] = 1
+        total += held @ held.T
+    return total.astype(np.int64)
 
 
 def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -310,7 +341,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     tables = stored(_tables(classes))
     links = confirmed(docs, _star_pairs(tables, classes, percent), width, percent)
     roots = components(links)
-    more = confirmed(docs, _open_pairs(tables, classes, roots, percent), width, percent)
+    more = _open_links(docs, _open_cells(tables, classes, roots), width, percent)
     roots = components(links.unionByName(more))
     placed = equal.join(roots.toDF("rep", "root"), "rep", "left").select("f0", "f1", F.coalesce("root", "rep").alias("root"))
     found = signed.select("doc", "n", "f0", "f1").join(placed, ["f0", "f1"], "left")

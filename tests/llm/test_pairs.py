@@ -107,13 +107,12 @@ def test_near_duplicates_odd_rows(make_docs):
     assert minhash.near_duplicates(make_docs([]).limit(0)).count() == 0
 
 
-def test_bucket_numbers_are_those_of_spark(spark):
-    pairs = [(0, 0), (5, -7), (-(2**63), 2**63 - 1)]
-    from pyspark.sql import functions as F
-
-    frame = spark.createDataFrame(pairs, "a long, b long").select(F.xxhash64("a", "b").alias("h"))
-    x, y = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
-    assert [r.h for r in frame.collect()] == minhash._bucket_numbers(x, y).tolist()
+def test_shared_counts():
+    source = np.random.default_rng(0)
+    sets = [np.unique(source.integers(0, 6000, 4000).astype(np.uint64)) for _ in range(9)] + [np.array([1], np.uint64)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    off = ~np.eye(10, dtype=bool)
+    assert (minhash._shared(sets) == np.array(want))[off].all()
 
 
 def table_of(spark, rows):
@@ -165,6 +164,13 @@ def test_vector_blocks(spark, vectors, monkeypatch):
     assert sorted(map(str, caps.near_duplicates(table_of(spark, vectors)).collect())) == want
 
 
+def plain_distance(a, b):
+    total = 0.0  # added one by one; sum() would compensate
+    for x, y in zip(a, b, strict=True):
+        total += (x - y) ** 2
+    return math.sqrt(total)
+
+
 @pytest.mark.parametrize("blocks", [(512, 8192, 1024), (3, 20, 7)])
 def test_nearest(spark, vectors, monkeypatch, blocks):
     for name, value in zip(("QUERY_BLOCK", "CANDIDATE_BLOCK", "TILE"), blocks, strict=True):
@@ -176,7 +182,7 @@ def test_nearest(spark, vectors, monkeypatch, blocks):
     want = {}
     for q, a in usable.items():
         if q % 10 == 0:
-            near = sorted((math.sqrt(sum((x - y) ** 2 for x, y in zip(a, b))), i) for i, b in usable.items() if i != q and len(b) == len(a))
+            near = sorted((plain_distance(a, b), i) for i, b in usable.items() if i != q and len(b) == len(a))
             for rank, (d, i) in enumerate(near[:7], 1):
                 want[q, rank] = (i, d)
     assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in got} == want
