@@ -32,7 +32,7 @@ PIECE = 2048
 #: Characters of a text from which its pieces are dealt out over the tasks.
 LONG = 65536
 #: Units, and words, in each of the two generations that a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 160_000
 #: Bytes of a vocabulary file; it is sent to every worker.
 VOCABULARY_BYTES = 64 << 20
 
@@ -55,6 +55,8 @@ class Codec:
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.end = self.whole.model.end_of_word_suffix or ""
         self.closing = self.whole.model
+        if hasattr(self.closing, "_resize_cache"):  # words are remembered here, a second memory only costs time
+            self.closing._resize_cache(0)
         self.vocabulary = vocabulary
         # how the model's alphabet spells the lower-case letters beyond ASCII that plain words may have
         self.letters = {ord(c): self.pre_token(c) for c in "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"}
