@@ -40,8 +40,10 @@ VOTERS = LEXICON_VOTERS + PATTERN_VOTERS
 LABELLED_ROWS, LEARNED_WORDS = 20_000, 2000
 #: Least share of toxic documents with a word, least factor by which it is more frequent there, least G statistic.
 SUPPORT, LIFT, SURE = 0.02, 8.0, 30.0
-#: Hashes by which near copies are told, and the length of the words they look at.
-FAMILIES, FAMILY_WORD = 4, 8
+#: Minhashes of a text's runs of RUN words, and how many of them near copies have in common at least.
+HASHES, ALIKE, RUN = 32, 16, 3
+#: What a family of near copies weighs; its rows have equal, whole parts of it, so that sums do not depend on their order.
+WHOLE = 1 << 30
 #: Lengths of the word beginnings that are tried; in the lexicon they end in "*".
 BEGINNINGS = range(4, 9)
 
@@ -86,30 +88,33 @@ def features_of(text: str | None, lexicon: dict[str, int]) -> list[float]:
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, int]:
     """The voter of each lexicon word, from seed words and labelled rows of ``docs`` (id, text; id, y).
 
-    At most ``LABELLED_ROWS`` labels are used, in the order of a hash of their ids.
+    At most ``LABELLED_ROWS`` labels are used, in the order of a hash of their ids.  All their rows count; the rows of
+    a family of near copies weigh one row together.
     """
     sample = labels.orderBy(F.xxhash64("id"), "id").limit(LABELLED_ROWS)
     known = docs.join(F.broadcast(sample), "id").select("text", "y")  # the limit bounds what is sent
 
-    @F.arrow_udf("struct<families:array<long>,words:array<string>>")
+    @F.arrow_udf("struct<signature:array<int>,words:array<string>>")
     def distinct(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts.to_pylist():
-            words = sorted(set(words_of(text or "")))
+            own = words_of(text or "")
+            words = sorted(set(own))
             starts = {w[:n] + "*" for w in words for n in BEGINNINGS if n <= len(w)}
-            out.append({"families": _families(words), "words": words + sorted(starts)})
-        return pa.array(out, pa.struct([("families", pa.list_(pa.int64())), ("words", pa.list_(pa.string()))]))
+            out.append({"signature": signature_of(own), "words": words + sorted(starts)})
+        return pa.array(out, pa.struct([("signature", pa.list_(pa.int32())), ("words", pa.list_(pa.string()))]))
 
     rows = known.select("y", distinct.asNondeterministic()("text").alias("d")).select("y", "d.*")
-    for k in range(FAMILIES):
-        rows = rows.withColumn("family", F.col("families")[k]).dropDuplicates(["y", "family"])
-    rows = stored(rows.select("y", "words"))
-    totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    rows = stored(rows.withColumn("copy", F.xxhash64("signature")))
+    weights = _family_weights(rows)
+    rows = rows.join(F.broadcast(weights), ["y", "copy"]).select("y", "words", "weight")
+    totals = {r["y"]: r["n"] / WHOLE for r in rows.groupBy("y").agg(F.sum("weight").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     learned = []
     if toxic and clean:
-        counts = rows.select("y", F.explode("words").alias("word")).groupBy("word").agg(
-            F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")
+        counts = rows.select("y", "weight", F.explode("words").alias("word")).groupBy("word").agg(
+            (F.sum(F.col("weight") * F.col("y")) / WHOLE).alias("toxic"),
+            (F.sum(F.col("weight") * (1 - F.col("y"))) / WHOLE).alias("clean"),
         )
         lift = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / (clean + 0.5))
         expected = (F.col("toxic") + F.col("clean")) * (toxic / (toxic + clean))
@@ -133,12 +138,52 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, int]:
     return voters | {word: k % (LEXICON_VOTERS - 2) for k, word in enumerate(common)}
 
 
-def _families(words: list[str]) -> list[int]:
-    """The least hashes of a text's long words: near copies share most of them."""
+def signature_of(words: list[str]) -> np.ndarray:
+    """Minhashes of the runs of ``RUN`` words of a text; of fewer words, of one run of all."""
     import xxhash
 
-    words = [w for w in words if len(w) >= FAMILY_WORD] or [" ".join(words)]
-    return [min(xxhash.xxh64_intdigest(w, seed) >> 1 for w in words) for seed in range(FAMILIES)]
+    own = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
+    each = np.array([own[w] for w in words] or [0], np.uint64)
+    each = np.concatenate([each, np.zeros(max(0, RUN - len(each)), np.uint64)])
+    runs = np.zeros(len(each) - RUN + 1, np.uint64)
+    for k in range(RUN):
+        runs = (runs ^ each[k : k + len(runs)]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(29)
+    runs = np.unique(runs)
+    least = np.empty(HASHES, np.int32)
+    for k in range(HASHES):
+        mixed = (runs ^ np.uint64((k + 1) * 0x165667B19E3779F9 % (1 << 64))) * np.uint64(0xFF51AFD7ED558CCD)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        least[k] = (mixed >> np.uint64(33)).min()
+    return least
+
+
+def families_of(signatures: np.ndarray) -> np.ndarray:
+    """The family of each row of minhashes, by the number of its first row: at least ``ALIKE`` are equal to that row's."""
+    first = np.empty(len(signatures), np.int64)  # numbers of the rows that began a family
+    leaders = np.empty_like(signatures)
+    out, n = np.empty(len(signatures), np.int64), 0
+    for k, own in enumerate(signatures):
+        equal = (leaders[:n] == own).sum(axis=1)
+        best = int(equal.argmax()) if n else 0
+        if n and equal[best] >= ALIKE:
+            out[k] = first[best]
+        else:
+            first[n], leaders[n], out[k] = k, own, k
+            n += 1
+    return out
+
+
+def _family_weights(rows: DataFrame) -> DataFrame:
+    """y, copy, weight: the part of ``WHOLE`` that each row with this signature has (``LABELLED_ROWS`` rows at most)."""
+    found = rows.groupBy("y", "copy").agg(F.first("signature").alias("signature"), F.count("*").alias("n")).collect()
+    weights = []
+    for y in (0, 1):
+        own = sorted((r for r in found if r["y"] == y), key=lambda r: r["copy"])
+        family = families_of(np.array([r["signature"] for r in own], np.int32).reshape(-1, HASHES))
+        sizes = np.bincount(family, [r["n"] for r in own], minlength=len(own))
+        weights += [(y, r["copy"], WHOLE // int(sizes[f])) for r, f in zip(own, family.tolist(), strict=True)]
+    return rows.sparkSession.createDataFrame(weights, "y int, copy long, weight long")
 
 
 def features_column(text: Column, lexicon: dict[str, int]) -> Column:

@@ -96,6 +96,23 @@ def test_toxicity_odd_rows(spark, make_docs, odd):
     assert kept.columns == make_docs(odd).columns and kept.count() == len(odd) - 15
 
 
+def test_lexicon_counts_every_labelled_row(spark, make_docs):
+    # documents share their long words, among which are the least hashes, and are no copies of each other
+    source = random.Random(8)
+    long, short = [f"commonword{c}" for c in "abcdef"], [a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    rows = [(k, " ".join(source.choice(short) for _ in range(40)) + " " + " ".join(source.sample(long, 6))) for k in range(200)]
+    rows = [(k, f"{text} vilx" if k % 4 == 0 else text) for k, text in rows]
+    # one text with many near copies counts as one row: its word teaches nothing
+    base = [source.choice(short) for _ in range(60)]
+    rows += [(200 + k, " ".join(base[:k] + base[k + 1 :]) + " copied") for k in range(60)]
+    labels = label_rows(spark, [(k, 1, int(k % 4 == 0 or k >= 200), "x") for k, _ in rows])
+    known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("y"))
+    lexicon = toxicity.learn_lexicon(make_docs(rows).select(F.col("doc_id").alias("id"), "text"), known)
+    assert "vilx" in lexicon and "copied" not in lexicon
+    families = toxicity.families_of(np.array([toxicity.signature_of(toxicity.words_of(t)) for _, t in rows]))
+    assert len(set(families[:200])) == 200 and len(set(families[200:])) == 1
+
+
 def test_label_model_finds_accuracies_and_correlation():
     source = np.random.default_rng(5)
     y = source.random(40000) < 0.1
