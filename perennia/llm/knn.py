@@ -12,10 +12,11 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from perennia.llm.vectors import matrix, usable
+from perennia.sources.scratch import stored
 
 #: Queries and candidates of a cell, and candidates of a tile.
 QUERY_BLOCK, CANDIDATE_BLOCK, TILE = 512, 8192, 1024
@@ -51,28 +52,48 @@ def tile_bounds(q: tuple, c: tuple) -> tuple[np.ndarray, np.ndarray]:
 
 
 def nearest_in_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """(query, neighbour, distance) of the k nearest of a cell for each query; a query's own id is left out."""
+    """(query, neighbour, distance) of the k nearest ids of a cell for each query; a query's own id is left out."""
     heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]  # (-distance, -id), the worst first
+    held: list[dict[int, float]] = [{} for _ in query_ids]  # the ids of each heap
+    order = np.argsort(ids, kind="stable")  # rows of one id are neighbours
+    ids, vectors = ids[order], vectors[order]
     q = quantised(queries)
     for at in range(0, len(ids), TILE):
         own, tile = ids[at : at + TILE], vectors[at : at + TILE]
         low, high = tile_bounds(q, quantised(tile))
         same = query_ids[:, None] == own[None, :]
         high[same] = low[same] = np.inf
+        starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        if len(starts) < len(own):  # an id's upper bound is the least of its rows'
+            high = np.minimum.reduceat(high, starts, axis=1)
         # among k + 1 upper bounds that are finite, the k-th is an upper bound of the k-th distance
         limit = np.partition(high, k - 1, axis=1)[:, k - 1] if high.shape[1] >= k else np.full(len(high), np.inf)
         worst = np.array([-h[0][0] if len(h) == k else np.inf for h in heaps])
         limit = np.minimum(limit, worst)
         row, col = np.nonzero((low <= limit[:, None]) & ~same)
         for i, j, d in zip(row.tolist(), col.tolist(), distances(queries[row], tile[col]).tolist(), strict=True):
-            entry = (-d, -int(own[j]))
-            if len(heaps[i]) < k:
-                heapq.heappush(heaps[i], entry)
-            elif entry > heaps[i][0]:
-                heapq.heapreplace(heaps[i], entry)
+            heap, near, other = heaps[i], held[i], int(own[j])
+            entry = (-d, -other)
+            if other in near:  # an id has one entry, its least distance
+                if d < near[other]:
+                    heap[heap.index((-near[other], -other))] = entry
+                    heapq.heapify(heap)
+                    near[other] = d
+            elif len(heap) < k:
+                heapq.heappush(heap, entry)
+                near[other] = d
+            elif entry > heap[0]:
+                del near[-heapq.heapreplace(heap, entry)[1]]
+                near[other] = d
     return [(int(query), -i, -d) for query, heap in zip(query_ids, heaps, strict=True) for d, i in heap]
 
 
+def _sizes(rows: DataFrame) -> Row:
+    """Rows, queries among them, and most rows of one id."""
+    each = rows.groupBy("id").agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"))
+    return each.agg(F.sum("n").alias("n"), F.sum("q").alias("q"), F.max("n").alias("most")).first()
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score: the ``k`` nearest other rows of each row where ``is_query`` holds.
 
@@ -84,8 +105,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id
         F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), "is_query"
     )
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector"))).withColumn("dim", F.size("vector"))
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
-    groups, blocks = -(-sizes["n"] // CANDIDATE_BLOCK) or 1, -(-sizes["q"] // QUERY_BLOCK) or 1
+    sizes = _sizes(rows)
+    if (sizes["most"] or 0) > 1:  # vectors are dealt by id and vector only where ids repeat
+        rows = stored(rows.groupBy("id", "vector", "dim").agg(F.max("is_query").alias("is_query")))
+        sizes = _sizes(rows)
+    groups, blocks = -(-(sizes["n"] or 0) // CANDIDATE_BLOCK) or 1, -(-(sizes["q"] or 0) // QUERY_BLOCK) or 1
     number = F.xxhash64("id")
     asked = rows.filter("is_query").select(
         F.lit(True).alias("asks"), F.pmod(number, F.lit(blocks)).alias("block"),

@@ -189,6 +189,29 @@ def test_nearest(spark, vectors, monkeypatch, blocks):
     assert knn.nearest(table_of(spark, []), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_repeated_ids_take_one_place(spark):
+    source = np.random.default_rng(6)
+    rows = [(k, source.normal(size=8).tolist()) for k in range(40)] * 2  # every row twice
+    rows += [(1, (np.array(rows[0][1]) + 0.001 * k).tolist()) for k in range(1, 15)]  # an id with many rows near a query
+    rows = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    from pyspark.sql import functions as F
+
+    got = knn.nearest(table_of(spark, [(*r, 0, "", "") for r in rows]), F.col("vec_id") % 20 == 0, k=10).collect()
+    want = {}
+    for q in (0, 20):
+        near = {}
+        for i, b in rows:
+            if i != q:
+                near[i] = min(near.get(i, math.inf), plain_distance(rows[q][1], b))
+        for rank, (d, i) in enumerate(sorted((d, i) for i, d in near.items())[:10], 1):
+            want[q, rank] = (i, d)
+    assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in got} == want
+    # within a cell, over several tiles
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    found = knn.nearest_in_cell(np.array([0]), vectors[:1], ids, vectors, 10)
+    assert sorted((d, i) for _, i, d in found) == [(want[0, r][1], want[0, r][0]) for r in range(1, 11)]
+
+
 def test_quantisation_bounds_hold():
     source = np.random.default_rng(0)
     a, b = source.normal(size=(50, 33)) * 10.0 ** source.integers(-3, 4, (50, 1)), source.normal(size=(60, 33))
