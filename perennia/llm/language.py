@@ -79,12 +79,15 @@ class LanguageModel:
 def learn_text(docs: DataFrame, text: Column, language: Column, id: Column, rows: int = TRAINING_ROWS) -> LanguageModel:
     """Trigram counts of labelled rows, summed by group.
 
-    Of larger inputs, rows are chosen by a hash of their ids, so that about ``rows`` are expected.
+    Languages are counted over all rows.  Of larger inputs, rows are chosen by a hash of their ids at a rate for each
+    language: all rows of rare languages and equal expected numbers of the others, so that about ``rows`` are expected.
     """
     known = docs.select(text.alias("text"), F.lower(language).alias("language"), id.alias("id")).filter("language is not null and text is not null")
-    size = docs.count()
-    if size > rows:
-        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(rows / size * (1 << 30)))
+    found = known.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
+    rates = sampling_rates({r["language"]: r["n"] for r in found}, rows)
+    if any(rate < 1 for rate in rates.values()) or len(rates) == LANGUAGES:
+        bounds = F.create_map([F.lit(x) for k, rate in rates.items() for x in (k, int(rate * (1 << 30)))])
+        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < bounds[F.col("language")])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -98,11 +101,10 @@ def learn_text(docs: DataFrame, text: Column, language: Column, id: Column, rows
 
     partial = known.select("text", "language").mapInArrow(counted, "language string, bucket long, n long")
     table = stored(partial.groupBy("language", "bucket").agg(F.sum("n").alias("n")))
-    most = table.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
-    languages = sorted(r["language"] for r in most)
+    languages = sorted(r["language"] for r in table.select("language").distinct().collect())  # LANGUAGES at most
     counts = np.zeros((len(languages), BUCKETS))
     number = {x: k for k, x in enumerate(languages)}
-    for r in table.filter(F.col("language").isin(languages)).toLocalIterator():  # LANGUAGES * BUCKETS rows at most
+    for r in table.toLocalIterator():  # LANGUAGES * BUCKETS rows at most
         counts[number[r["language"]], r["bucket"]] = r["n"]
     used = max(1, int((counts.sum(axis=0) > 0).sum())) if languages else 1
     logs = np.log(counts + PSEUDO) - np.log(counts.sum(axis=1, keepdims=True) + PSEUDO * max(used, 1000))
@@ -110,6 +112,18 @@ def learn_text(docs: DataFrame, text: Column, language: Column, id: Column, rows
     return LanguageModel(languages, logs.astype(np.float32), np.full(n, 1 / n) if n else np.empty(0))
 
 
+def sampling_rates(sizes: dict[str, int], rows: int) -> dict[str, float]:
+    """For each language the share of its rows to take: the same expected number of all that have so many."""
+    left, each = rows, 0.0
+    for done, n in enumerate(sorted(sizes.values())):
+        each = left / (len(sizes) - done)
+        if n > each:
+            break
+        left -= n
+        each = float(n)
+    return {language: min(1.0, each / n) for language, n in sizes.items()}
+
+
 def likelihood_column(text: Column, model: LanguageModel) -> Column:
     """Tempered log likelihood of each language, as array<double>; null for a text without letters."""
     logs = model.logs.T.copy()  # one row of all languages for a bucket

@@ -150,6 +150,18 @@ def test_language(spark, make_docs):
     assert nothing.languages == [] and language.identify(empty, nothing, *args).count() == 0
 
 
+def test_rare_languages_are_learned_from_a_sample(spark, make_docs):
+    pairs = [(k, f"the house of the river number {chr(97 + k % 26)}") for k in range(3000)]
+    pairs += [(3000 + k, f"haus und fluss nicht {chr(97 + k)}") for k in range(3)]
+    docs = make_docs(pairs, ["en"] * 3000 + ["de"] * 3)
+    model = language.learn_text(docs, F.col("text"), F.col("lang"), F.col("doc_id"), rows=20)
+    assert model.languages == ["de", "en"]
+    rates = language.sampling_rates({"a": 1_000_000, "b": 500_000, "c": 300, "d": 1}, 20_000)
+    assert rates["c"] == rates["d"] == 1 and abs(rates["a"] * 1_000_000 - rates["b"] * 500_000) < 1e-6
+    assert abs(rates["a"] * 1_000_000 + rates["b"] * 500_000 + 301 - 20_000) < 1e-6
+    assert set(language.sampling_rates({"a": 5, "b": 7}, 20).values()) == {1.0}
+
+
 def test_host_priors_are_smoothed(spark):
     rows = [([0.0, -9.0], None, "a.x.org")] * 50 + [([-9.0, 0.0], None, "b.y.net")] * 50 + [([0.0, -9.0], "xx", None)]
     model = language.LanguageModel(["de", "en"], np.zeros((2, 4)), np.full(2, 0.5))
