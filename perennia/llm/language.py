@@ -149,8 +149,13 @@ def _total(weights: Column) -> Column:
 
 
 def learn_evidence(evidence: DataFrame, model: LanguageModel) -> LanguageModel:
-    """Counts over all rows of ``evidence`` (likelihoods, declared, host): priors and likelihood tables."""
+    """Counts over all rows of ``evidence`` (likelihoods, declared, host): priors and likelihood tables.
+
+    A model that knows no language stays as it is.
+    """
     n = len(model.languages)
+    if not n:
+        return model
     table = evidence.filter("likelihoods is not null")
     weights = table.select("declared", "host", _weights(F.col("likelihoods")).alias("w"))
     weights = weights.select("declared", "host", "w", _total(F.col("w")).alias("t"))
@@ -186,8 +191,10 @@ def fuse(df: DataFrame, model: LanguageModel, likelihoods: str, declared: Column
     """``df`` with language and confidence from its likelihoods, declaration and host.
 
     Where a kind of evidence is missing it says nothing; without any text evidence the rest decides, and without
-    any evidence the language is null with confidence 0.
+    any evidence, or with a model that knows no language, the language is null with confidence 0.
     """
+    if not model.languages:
+        return df.withColumns({"language": F.lit(None).cast("string"), "confidence": F.lit(0.0)})
     a, b = temporary("declared"), temporary("host")
     stated, prior = temporary("stated"), temporary("prior")
     df = df.withColumn(a, F.lower(declared)).withColumn(b, host)

@@ -162,6 +162,17 @@ def test_rare_languages_are_learned_from_a_sample(spark, make_docs):
     assert set(language.sampling_rates({"a": 5, "b": 7}, 20).values()) == {1.0}
 
 
+@pytest.mark.parametrize("rows", [0, 3])
+def test_language_queries_without_languages(spark, make_docs, tmp_path, rows):
+    docs = make_docs([(k, f"some text {k}") for k in range(3)], [None] * 3).limit(rows)
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("https://a.org/x").alias("url"), F.col("text").alias("html"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    for name in ("op9_language_id", "language_id_of_pages"):
+        got = QUERIES[name](spark, str(tmp_path)).collect()
+        assert len(got) == rows and all(r.language is None and r.confidence == 0 for r in got)
+
+
 def test_host_priors_are_smoothed(spark):
     rows = [([0.0, -9.0], None, "a.x.org")] * 50 + [([-9.0, 0.0], None, "b.y.net")] * 50 + [([0.0, -9.0], "xx", None)]
     model = language.LanguageModel(["de", "en"], np.zeros((2, 4)), np.full(2, 0.5))
