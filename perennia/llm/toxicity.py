@@ -124,12 +124,17 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, int]:
         learned = strong.orderBy(F.desc(weight), F.col("word").endswith("*"), "word").limit(LEARNED_WORDS).collect()
     most = max((r["toxic"] for r in learned), default=0)
     kept: list[str] = []
+    beginnings: list[str] = []  # the kept ones that end in "*"
     common: list[str] = []
     for r in learned:
-        stem = r["word"].removesuffix("*")
-        if any(stem.startswith(k) or k.startswith(stem) for k in kept):
+        stem, is_beginning = r["word"].removesuffix("*"), r["word"].endswith("*")
+        if stem in kept or any(stem.startswith(k) for k in beginnings):
+            continue  # a kept beginning matches it
+        if is_beginning and any(k.startswith(stem) for k in kept):
             continue  # one of a word and its beginnings is enough
         kept.append(stem)
+        if is_beginning:
+            beginnings.append(stem)
         if r["toxic"] >= most / 8:
             common.append(r["word"])
     # common words are dealt over the first voters; one voter has the rarer words, one the seed words not met

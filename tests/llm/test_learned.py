@@ -113,6 +113,15 @@ def test_lexicon_counts_every_labelled_row(spark, make_docs):
     assert len(set(families[:200])) == 200 and len(set(families[200:])) == 1
 
 
+def test_a_whole_word_does_not_hide_longer_ones(spark, make_docs):
+    source = random.Random(9)
+    plain = [a + b + c + d for a in "bdfgk" for b in "aeiou" for c in "lmnrst" for d in "aeiou"]
+    rows = [(k, " ".join(source.choice(plain) for _ in range(30)) + (("" if k % 4 else " zur") + ("" if k % 8 else " zurvex"))) for k in range(400)]
+    known = spark.createDataFrame([(k, int(k % 4 == 0)) for k, _ in rows], "id long, y int")
+    lexicon = toxicity.learn_lexicon(make_docs(rows).select(F.col("doc_id").alias("id"), "text"), known)
+    assert toxicity.voter_of("zur", lexicon) >= 0 and toxicity.voter_of("zurvex", lexicon) >= 0
+
+
 def test_label_model_finds_accuracies_and_correlation():
     source = np.random.default_rng(5)
     y = source.random(40000) < 0.1
