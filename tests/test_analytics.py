@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan, rows, unordered
+from helpers import plan, rows, unordered
 from pyspark.sql import functions as F
 
 from perennia.operators import analytics

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows, unordered
+from helpers import rows, unordered
 from pyspark.sql import functions as F
 
 from perennia.operators import outliers, quality

@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from perennia.functions import encode_map, rating, text_to_double, to_int

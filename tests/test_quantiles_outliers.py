@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from conftest import rows, unordered
+from helpers import rows, unordered
 
 from perennia.operators import outliers, quantiles
 
