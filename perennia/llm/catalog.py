@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm import bpe, caps, knn, language, licenses, minhash, packing, quality, toxicity, warc
+from perennia.llm import bpe, caps, conversations, knn, language, lexical, licenses, minhash, packing, quality, toxicity
+from perennia.llm import vafile, warc
 from perennia.llm.common import prepare
 from perennia.sources.scratch import scratch_path
 
@@ -222,6 +223,150 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find(docs, licenses.learn(docs))
 
 
+#: crc32 of ``key`` (ASCII), byte by byte and bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda v, i: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end)))"""
+
+
+def _rows_cost(state: int) -> str:
+    """The cheapest way on from a state when the next row is edited, not preceded by an insert: (cost, audit, lines)."""
+    put = conversations.NEXT[state]
+    line, role = "chr(10) || r.role || ':' || r.text", conversations.ROLE_OF[put]
+    rerole = f"chr(10) || '{role}:' || r.text"
+    kept = {0: "when r.initial = 's' then 1 when r.initial = 'u' then 2", 1: "when r.initial = 'u' then 2", 2: "when r.initial = 'a' then 3", 3: "when r.initial = 'u' then 2"}[state]
+
+    def way(letter: str, cost: str, to: str, line: str) -> str:
+        return f"{{'c': {to}.c + {cost}, 'a': '{letter}' || {to}.a, 't': {line} || {to}.t}}"
+
+    target = f"(case {kept} end)"
+    keeps = " ".join(f"when {target} = {t} then {way('K', 'r.late', f'd.v{t}', line)}" for t in (1, 2, 3))
+    return f"""list_min([{way('D', '4', f'd.v{state}', "''")}, case when r.gone then null {keeps} end,
+        case when not r.gone then {way('R', 'r.late + 3', f'd.v{put}', rerole)} end])"""
+
+
+def _inserted(to: str, role: str) -> str:
+    return f"{{'c': {to}.c + 3, 'a': 'I' || {to}.a, 't': chr(10) || '{role}:' || {to}.t}}"
+
+
+@query(
+    "op11_conversation_repair",
+    f"""
+    with recursive keyed as (
+        select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations
+    ),
+    faulty as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {CRC32} % 20 as f from keyed
+    ),
+    damaged as (
+        select conv_id, turn, case when f = 4 then 'user' else role end as role,
+            case f when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+            unnest(range(case f when 0 then 0 when 3 then 2 else 1 end)) as copy
+        from faulty
+    ),
+    ordered as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+            left(role, 1) as initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as tail
+        from damaged
+    ),
+    marked as (
+        select *, case when tail = '' then 'blank'
+                when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+                when right(tail, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+            lag(initial) over (partition by conv_id order by i) as before
+        from ordered
+    ),
+    counts as (
+        select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+            count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+            count(*) filter (fault = 'truncated') as truncated,
+            count(*) filter (i > 1 and before || initial not in ('su', 'ua', 'au')) as illegal
+        from marked group by conv_id
+    ),
+    todo as (select *, fault in ('blank', 'duplicate') as gone, case fault when 'truncated' then 3 else 0 end as late from marked),
+    dp(conv_id, i, v0, v1, v2, v3) as (
+        select conv_id, n + 1, {{'c': 0::bigint, 'a': '', 't': ''}}, {{'c': 6::bigint, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+            {{'c': 3::bigint, 'a': 'I', 't': chr(10) || 'assistant:'}}, {{'c': 0::bigint, 'a': '', 't': ''}}
+        from counts
+        union all
+        select conv_id, i, least(w0, {_inserted('least(w2, ' + _inserted('w3', 'assistant') + ')', 'user')}),
+            least(w1, {_inserted('least(w2, ' + _inserted('w3', 'assistant') + ')', 'user')}),
+            least(w2, {_inserted('w3', 'assistant')}), least(w3, {_inserted('w2', 'user')})
+        from (
+            select d.conv_id, r.i, {', '.join(f'{_rows_cost(s)} as w{s}' for s in range(4))}
+            from dp d join todo r on r.conv_id is not distinct from d.conv_id and r.i = d.i - 1
+        )
+    ),
+    best as (select conv_id, v0 from dp where i = 1)
+    select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+        coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+        coalesce(illegal, 0)::bigint as illegal, coalesce(v0.c, 0)::bigint as cost, coalesce(v0.a, '') as audit,
+        sha256(coalesce(substr(v0.t, 2), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) o
+    left join counts c on c.conv_id is not distinct from o.conv_id
+    left join best b on b.conv_id is not distinct from o.conv_id
+    """,
+)
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, copies)
+
+
+@query(
+    "op12_exact_top_k",
+    """
+    with v as (
+        select vec_id, [floor(64 * x::double)::bigint for x in embedding] as e from embeddings
+        where vec_id is not null and embedding is not null
+            and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+    ),
+    pairs as (
+        select q.vec_id as query_id, c.vec_id, coalesce(list_sum([x[1] * x[2] for x in list_zip(q.e, c.e)]), 0)::bigint as score
+        from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
+    )
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from pairs qualify rank <= 20
+    """,
+)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+    with docs as (
+        select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents
+    ),
+    items as (
+        select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark
+    ),
+    sizes as (select count(*)::bigint as n_docs, sum(len(terms))::bigint as n_terms from docs where len(terms) > 0),
+    tf as (
+        select r, doc_id, len(terms)::bigint as n, term, count(*)::bigint as tf
+        from (select r, doc_id, terms, unnest(terms) as term from docs) where term in (select term from items) group by all
+    ),
+    weights as (
+        select term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)::double))::bigint as w from tf, sizes group by term
+    ),
+    scores as (
+        select item_id, r, doc_id,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::bigint as score
+        from items join tf using (term) join weights using (term), sizes group by item_id, r, doc_id
+    )
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, score
+    from scores where score > 0 qualify rank <= 50
+    """,
+)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
