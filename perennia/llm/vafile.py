@@ -22,7 +22,7 @@ from perennia.llm.vectors import matrix
 from perennia.sources.scratch import stored
 
 #: Cells of a component; their numbers fit a byte.
-CELLS = 64
+CELLS = 256
 #: Rows on which the cells' edges are learned; the least and greatest values are those of all rows.
 SAMPLE = 16_384
 #: Queries and candidates of a block, and candidates of a tile.
