@@ -18,6 +18,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cached_property
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -81,11 +82,13 @@ class Codec:
         return b"".join(map(self.units.__getitem__, _spaced(text).split(" ")))
 
     def _unit(self, unit: str) -> bytes:
-        word = unit.rstrip(_MARKS)
-        if word.isascii() and word.isalpha() and len(unit) <= PIECE or _PLAIN(word) and len(unit) <= PIECE:
-            ids = self.words[word.lower()]
-            return ids if len(word) == len(unit) else ids + self.words[unit[len(word) :]]
-        if len(unit) <= PIECE:
+        size = len(unit)
+        if size <= PIECE:
+            word = unit.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or _PLAIN(word)):
+                ids = self.words[word.lower()]
+                at = len(word)
+                return ids if at == size else ids + self.words[unit[at:]]
             return _packed(self.whole.encode(unit, add_special_tokens=False).ids)
         return b"".join(
             _packed([word]) if isinstance(word, int) else self.long_word(word) for word in self.pre_tokens(unit)
@@ -111,7 +114,7 @@ class Codec:
         """One pre-token of plain letters or marks."""
         if not word.isascii():
             word = word.translate(self.letters)
-        return _packed([t.id for t in self.closing.tokenize(word)])
+        return _packed([*map(_ID, self.closing.tokenize(word))])
 
     def long_word(self, word: str) -> bytes:
         """Halves, encoded apart and joined."""
@@ -171,16 +174,21 @@ class _Memory(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
+            if len(key) > 64:
+                return value
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
+_ID = attrgetter("id")
+_FEW = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _FEW[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 _CODECS: dict[int, Codec] = {}

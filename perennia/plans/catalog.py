@@ -7,6 +7,7 @@ derived from the rows inside the query.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -668,30 +669,53 @@ def _trained(spark, sf_dir, config):
     return mlp.train_mlp(prepared.filter("split = 'train'"), config), prepared
 
 
+#: 100 epochs; all rows are one step, whose size asks for a larger and slower falling rate than small batches do.
+HUNDRED = mlp.MLPConfig(epochs=100, batch_size=None, learning_rate=3e-3, decay=0.99)
+
+
 @query
 def mlp_regression(spark, sf_dir):
     """Three hidden layers of 128; metrics of both parts."""
-    model, prepared = _trained(spark, sf_dir, mlp.MLPConfig(epochs=5))
+    model, prepared = _trained(spark, sf_dir, HUNDRED)
     return _metrics(model.predict(prepared))
 
 
 @query
 def mlp_regression_deep(spark, sf_dir):
-    """Eight hidden layers of 512; metrics of both parts."""
-    model, prepared = _trained(spark, sf_dir, mlp.MLPConfig(hidden=mlp.DEEP.hidden, epochs=1))
+    """Eight hidden layers of 512, one epoch; metrics of both parts."""
+    model, prepared = _trained(spark, sf_dir, mlp.MLPConfig(hidden=mlp.DEEP.hidden, epochs=1, batch_size=65_536))
     return _metrics(model.predict(prepared))
 
 
 @query
 def mlp_history(spark, sf_dir):
-    model, _ = _trained(spark, sf_dir, mlp.MLPConfig(epochs=3))
-    return model.history_table()
+    """The epochs of a network of one hidden layer, each with its rate and steps; and whether its loss is a number."""
+    model, _ = _trained(spark, sf_dir, replace(HUNDRED, hidden=(32,)))
+    finite = (F.col("loss") >= 0) & (F.col("loss") < float("inf"))
+    return model.history_table().select("epoch", rounded("learning_rate", 9).alias("learning_rate"), "steps", finite.alias("has_loss"))
+
+
+@query
+def mlp_linear(spark, sf_dir):
+    """charge ~ price by a network without hidden layers: slope and intercept of the train part."""
+    ship_package(spark)
+    rows = charges(spark, sf_dir).filter("split = 'train'").withColumn("x", F.col("price"))
+    pipeline = features.feature_pipeline(["price"], [], "charge", with_mean=True)
+    prepared = pipeline.fit(rows).transform(rows)
+    config = mlp.MLPConfig(hidden=(), epochs=200, batch_size=None, learning_rate=1.0, decay=0.985)
+    scored = mlp.train_mlp(prepared, config).predict(prepared)
+    ends = scored.agg(
+        F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"),
+        F.min_by("prediction", "x").alias("ya"), F.max_by("prediction", "x").alias("yb"),
+    )
+    slope = (F.col("yb") - F.col("ya")) / (F.col("b") - F.col("a"))
+    return ends.select("n", rounded(slope, 2).alias("slope"), rounded(F.col("ya") - slope * F.col("a"), 1).alias("intercept"))
 
 
 @query
 def mlp_score(spark, sf_dir):
     """Predictions of a network that was saved and read back."""
-    model, prepared = _trained(spark, sf_dir, mlp.MLPConfig(epochs=2))
+    model, prepared = _trained(spark, sf_dir, replace(HUNDRED, hidden=(32,)))
     path = scratch_path(spark, "mlp")
     model.save(path)
     scored = mlp.load_mlp(spark, path).predict(prepared)

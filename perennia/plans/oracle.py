@@ -436,6 +436,15 @@ SQL: dict[str, str] = {
         select (select count(*) from charges where split = 'train') as n, round(b, 8) + 0.0::double as slope,
                round(a, 6) + 0.0::double as intercept
         from fit""",
+    "mlp_linear": f"""
+        with {FIT}
+        select (select count(*) from charges where split = 'train') as n, round(b, 2) + 0.0::double as slope,
+               round(a, 1) + 0.0::double as intercept
+        from fit""",
+    "mlp_history": """
+        select epoch::int as epoch, round(3e-3::double * power(0.99::double, epoch), 9) + 0.0::double as learning_rate,
+               1::bigint as steps, count(*) > 0 as has_loss
+        from lineitem, (select unnest(range(100)) as epoch) group by epoch""",
     "score_predictions": f"""
         with {FIT}
         select l_orderkey, l_linenumber, split, round(target, 3) + 0.0::double as target,
