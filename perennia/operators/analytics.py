@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.functions import exact_means, field, is_text, present_double, to_int, year_at_most
+from perennia.functions import exact_means, field, is_integral, is_text, present_double, to_int, year_at_most
 from perennia.operators.ranking import rank_in_group, top_k, top_k_per_group
 
 
@@ -90,15 +90,45 @@ def extreme_groups_by_avg(
 
     A negative k asks for the lowest; k = 0 and an empty input give no rows; groups
     without any value take no part.
+
+    Plain sums give each group an interval that its mean lies in.  Only groups whose interval reaches
+    the k-th best lower (or upper) end are summed exactly, from their rows alone.
     """
     if k < 0:
         highest, k = False, -k
     if drop_null_groups:
         df = df.filter(field(group).isNotNull())
-    means = group_avg(df, [group], measure, name, exact=True)
+    if is_integral(df.schema[measure].dataType):  # such sums are exact
+        total = F.sum(field(measure).cast("decimal(38,0)")).cast("double")
+        means = df.groupBy(field(group)).agg(F.try_divide(total, F.count(field(measure))).alias(name))
+    else:
+        near = _reaching(df, k, group, present_double(df, measure), highest)
+        means = group_avg(near, [group], measure, name, exact=True)
     return top_k(means, k, name, [group], descending=highest, ties="keep")
 
 
+def _reaching(df: DataFrame, k: int, group: str, value: Column, highest: bool) -> DataFrame:
+    """The rows of the groups whose mean may be among the k best, ties included."""
+    # n additions of doubles are off by n / 2 ** 53 of the sum of magnitudes at most; a mean, by that over n
+    mean, size = F.avg("_v"), F.sum(F.abs("_v"))
+    sums = df.select(field(group).alias("_g"), value.alias("_v")).filter("_v is not null").groupBy("_g").agg(
+        mean.alias("_mean"), (size * 2.0**-50).alias("_off")
+    )
+    known = F.col("_off") < float("inf")  # else the sums ran over, or hold infinities
+    endless = F.lit(float("inf"))
+    ends = sums.select(
+        "_g",
+        F.when(known, F.col("_mean") - F.col("_off")).otherwise(-endless).alias("_low"),
+        F.when(known, F.col("_mean") + F.col("_off")).otherwise(endless).alias("_high"),
+    )
+    sure, far, order = ("_low", "_high", F.desc) if highest else ("_high", "_low", F.asc)
+    best = ends.select(sure).orderBy(order(sure)).limit(k)
+    bound = best.agg(F.when(F.count("*") == k, F.min(sure) if highest else F.max(sure))).scalar()
+    reaches = F.col(far) >= bound if highest else F.col(far) <= bound
+    wanted = ends.filter(F.coalesce(reaches, F.lit(True))).select("_g")
+    return df.join(wanted, field(group).eqNullSafe(F.col("_g")), "left_semi")
+
+
 def mode_per_group(df: DataFrame, group: str, value: str, *, name: str = "n", ties: str = "cut") -> DataFrame:
     """The most frequent value of every group; equal counts go to the first value in order."""
     return top_k_per_group(_value_counts(df, group, value, name), [group], 1, name, [value], ties=ties)
