@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennia.functions import field, safe_cast
+from perennia.operators.ranking import rank_in_group
+from perennia.sources.scratch import stored
+
+#: Bytes of an index table, its values as text, up to which it is broadcast.
+SMALL_INDEX = 8 << 20
 
 
 class LabelMaker(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -81,6 +87,48 @@ def string_indexer(cols: Sequence[str], unseen: str = "error") -> StringIndexer:
     return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols], handleInvalid=unseen)
 
 
+@dataclass
+class IndexTable:
+    """The index of each value of a column, as a table ``value, index``: for keys of any number of values."""
+
+    column: str
+    table: DataFrame
+    size: int
+    bytes: int
+
+    def transform(self, df: DataFrame, name: str | None = None, unseen: str = "error") -> DataFrame:
+        """Adds the index (a double, as ``string_indexer`` gives).
+
+        ``unseen`` is for null and for values that were not there when the table was made: ``error``, ``keep`` (the
+        number of known values) or ``skip`` (the row goes).  The table is broadcast only where it is known to be small;
+        otherwise both sides are shuffled, and a value that many rows share is split by AQE.
+        """
+        if unseen not in ("error", "keep", "skip"):
+            raise ValueError(f"unknown rule {unseen!r} for unseen values")
+        name, own = name or f"{self.column}_index", self.table.toDF("_value", "_index")
+        own = F.broadcast(own) if self.bytes <= SMALL_INDEX else own
+        joined = df.join(own, field(self.column) == F.col("_value"), "inner" if unseen == "skip" else "left")
+        index = F.col("_index")
+        if unseen == "keep":
+            index = F.coalesce(index, F.lit(float(self.size)))
+        elif unseen == "error":
+            said = F.concat(F.lit(f"a value of {self.column} has no index: "), F.coalesce(field(self.column).cast("string"), F.lit("null")))
+            index = F.when(index.isNull(), F.raise_error(said).cast("double")).otherwise(index)
+        return joined.select(*[field(c) for c in df.columns if c != name], index.alias(name))
+
+
+def index_table(df: DataFrame, column: str) -> IndexTable:
+    """Values by falling frequency, equal counts by value, numbered from 0; null has no number.
+
+    The values are counted in the tasks, ranked in slices and kept as a table; none of them reaches the driver.
+    """
+    counts = df.filter(field(column).isNotNull()).groupBy(field(column).alias("_value")).agg(F.count("*").alias("_n"))
+    ranked = stored(rank_in_group(counts, [], "_n", ["_value"], name="_rank"))
+    table = ranked.select(F.col("_value").alias("value"), (F.col("_rank") - 1).cast("double").alias("index"))
+    sizes = ranked.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col("_value").cast("string")) + 8).alias("bytes")).first()
+    return IndexTable(column, table, sizes["n"], sizes["bytes"] or 0)
+
+
 def one_hot_encoder(cols: Sequence[str]) -> OneHotEncoder:
     """One slot per index but the last."""
     return OneHotEncoder(inputCols=[f"{c}_index" for c in cols], outputCols=[f"{c}_encoded" for c in cols])

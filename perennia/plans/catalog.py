@@ -20,7 +20,7 @@ from perennia.functions import year_at_most
 from perennia.operators import analytics, clean, features, mlp, models, outliers, quality, quantiles, ranking
 from perennia.operators import split, stats
 from perennia.session import ship_package
-from perennia.sources import files, schema, sinks
+from perennia.sources import files, inference, schema, sinks
 from perennia.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +299,24 @@ def multi_file_scan(spark, sf_dir):
     return files.read_snapshots(spark, [f"{folder}/snapshot=*", f"{folder}-turned/snapshot=*"], ddl)
 
 
+@query
+def inferred_types(spark, sf_dir):
+    """Files a year, in some of which columns are wider or text: the type of each column in each file and in all."""
+    year, day = F.year("o_orderdate"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(year == 1995, F.col("o_orderkey") * 10**9).otherwise(F.col("o_orderkey")).alias("key"),
+        F.when(year == 1996, F.concat(F.lit("x"), "o_custkey")).otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(year == 1993, F.floor("o_totalprice").cast("string")).otherwise(F.col("o_totalprice").cast("decimal(20,2)").cast("string")).alias("price"),
+        F.when(year == 1994, F.concat(day, F.lit(" 10:00:00"))).otherwise(day).alias("day"),
+        F.concat(F.lit("orders_"), F.lpad((year % 100).cast("string"), 2, "0")).alias("snapshot"),
+    )
+    folder = scratch_path(spark, "snapshots")
+    sinks.write_csv(orders, folder, ["snapshot"])
+    found = stored(files.snapshot_types(spark, f"{folder}/snapshot=*"))
+    whole = inference.joined_types(found).select(F.lit("all").alias("snapshot"), "column_name", "type")
+    return found.select("snapshot", "column_name", "type").unionByName(whole)
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
@@ -542,6 +560,13 @@ def string_index(spark, sf_dir):
     return indexed.select("event_id", "event_type", "event_type_index")
 
 
+@query
+def string_index_table(spark, sf_dir):
+    """An index over a key of many values: ranked, kept and joined as a table."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return features.index_table(lineitem, "l_partkey").transform(lineitem)
+
+
 def _encoded(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
     stages = [features.string_indexer(["event_type"]), features.one_hot_encoder(["event_type"])]

@@ -243,6 +243,24 @@ SQL: dict[str, str] = {
                (2000 + year(o_orderdate) % 100)::int as year,
                case when o_orderstatus = 'F' then 'F' else 'M' end as gender
         from orders""",
+    "inferred_types": r"""
+        with texts as (
+          select 'orders_' || lpad((y % 100)::varchar, 2, '0') as snapshot, unnest([
+              {'c': 'key', 'v': (case when y = 1995 then o_orderkey * 1000000000 else o_orderkey end)::varchar},
+              {'c': 'customer', 'v': case when y = 1996 then 'x' else '' end || o_custkey},
+              {'c': 'price', 'v': case when y = 1993 then floor(o_totalprice)::bigint::varchar
+                else o_totalprice::decimal(20,2)::varchar end},
+              {'c': 'day', 'v': strftime(o_orderdate, '%Y-%m-%d') || case when y = 1994 then ' 10:00:00' else '' end}]) as x
+          from (select *, year(o_orderdate) as y from orders)),
+        cells as (select snapshot, x.c as column_name, x.v as v from texts union all select 'all', x.c, x.v from texts)
+        select snapshot, column_name,
+               case when bool_and(regexp_full_match(v, '[0-9]+'))
+                      then case when max(try_cast(v as bigint)) < 2147483648 then 'int' else 'bigint' end
+                    when bool_and(regexp_full_match(v, '[0-9]+(\.[0-9]+)?')) then 'double'
+                    when bool_and(regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) then 'date'
+                    when bool_and(regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9:]{8})?')) then 'timestamp'
+                    else 'string' end as type
+        from cells group by snapshot, column_name""",
     "csv_roundtrip": """
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
                strftime(o_orderdate, '%Y-%m-%d') as o_orderdate
@@ -398,6 +416,11 @@ SQL: dict[str, str] = {
           select event_type, (row_number() over (order by count(*) desc, event_type) - 1)::double as i
           from events group by event_type)
         select event_id, event_type, i as event_type_index from events join idx using (event_type)""",
+    "string_index_table": """
+        with idx as (
+          select l_partkey, (row_number() over (order by count(*) desc, l_partkey) - 1)::double as i
+          from lineitem group by l_partkey)
+        select l_orderkey, l_linenumber, l_partkey, i as l_partkey_index from lineitem join idx using (l_partkey)""",
     "one_hot": """
         with idx as (
           select event_type, row_number() over (order by count(*) desc, event_type) - 1 as i

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perennia.sources import inference
+
 CENTURY = 2000
+#: The name of a file or, for a directory of part files, of the directory; a key=value directory counts as its value.
+SNAPSHOT = r"([^/=]+)(?:/part-[^/]*)?$"
+#: First lines that are read side by side.
+HEADERS_AT_ONCE = 32
 
 
 def read_csv(
@@ -33,7 +40,7 @@ def snapshot_name() -> Column:
     The file's own name or, for a directory of part files, the directory's name; a
     ``key=value`` directory counts as its value.
     """
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)(?:/part-[^/]*)?$", 1)
+    return F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT, 1)
 
 
 def snapshot_year(name: Column) -> Column:
@@ -46,21 +53,57 @@ def snapshot_gender(name: Column) -> Column:
     return F.when(F.split_part(name, F.lit("_"), F.lit(1)) == "female", "F").otherwise("M")
 
 
+def _by_header(spark: SparkSession, path: str | Sequence[str], separator: str) -> dict[tuple[str, ...], list[str]]:
+    """The ``.csv`` files under a folder or glob, by the names in their first lines."""
+    paths = [path] if isinstance(path, str) else list(path)
+    named = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True).load(paths)
+    found = [row["path"] for row in named.select("path").collect()]  # the names of the files
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for header, file in zip(pool.map(lambda file: _header(spark, file, separator), found), found, strict=True):
+            by_header.setdefault(header, []).append(file)
+    return by_header
+
+
+def snapshot_types(
+    spark: SparkSession, path: str | Sequence[str], missing: Sequence[str] = (), **options: object
+) -> DataFrame:
+    """snapshot, column_name, bits, type: the type of each column in each snapshot, in one pass over the files of a header."""
+    groups = _by_header(spark, path, str(options.get("sep", ",")))
+    if not groups:
+        return spark.createDataFrame([], "snapshot string, column_name string, bits int, type string")
+    found = []
+    for header, files in sorted(groups.items()):
+        rows = inference.text_files(spark, files, header, **options)
+        name = F.regexp_extract("_file", SNAPSHOT, 1)
+        found.append(inference.column_types(rows.withColumn("_file", name), header, ["_file"], missing))
+    return union_all(found).withColumnRenamed("_file", "snapshot")
+
+
+def infer_schema(
+    spark: SparkSession, path: str | Sequence[str], missing: Sequence[str] = (), **options: object
+) -> T.StructType:
+    """One schema for all snapshots: a column has the narrowest type that holds its values in every file.
+
+    Columns come in the order of the headers, those of the first header first; texts in ``missing`` stand for no value.
+    """
+    names = dict.fromkeys(c for header in sorted(_by_header(spark, path, str(options.get("sep", ",")))) for c in header)
+    return inference.inferred_schema(snapshot_types(spark, path, missing, **options), list(names))
+
+
 def read_snapshots(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, **options: object
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, **options: object
 ) -> DataFrame:
     """All snapshots under a folder or glob, with ``year`` and ``gender`` from their names.
 
     Only ``.csv`` files are read.  Columns are found by the names in each file's header: files
     of one header are one scan, and a column that a file does not have is null in its rows;
     a column that the schema does not name is left out.  Only the headers are read ahead.
+    Without a schema one is inferred that holds the values of all files.
     """
-    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    paths = [path] if isinstance(path, str) else list(path)
-    named = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True).load(paths)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in named.select("path").collect():  # the names of the files
-        by_header.setdefault(_header(spark, row["path"], str(options.get("sep", ","))), []).append(row["path"])
+    wanted = infer_schema(spark, path, **options) if schema is None else schema
+    wanted = T.StructType.fromDDL(wanted) if isinstance(wanted, str) else wanted
+    by_header = _by_header(spark, path, str(options.get("sep", ",")))
     if not by_header:
         by_header = {tuple(wanted.names): []}
     types = {f.name: f.dataType for f in wanted}

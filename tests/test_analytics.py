@@ -147,3 +147,18 @@ def test_extreme_averages_of_floating_and_text_measures(spark):
     assert [tuple(r) for r in low.collect()] == [("a", 1e-13)]
     texts = spark.createDataFrame([("a", "1.5"), ("a", "NA"), ("b", "0.5"), ("c", "x")], "g string, v string")
     assert [tuple(r) for r in analytics.extreme_groups_by_avg(texts, 1, group="g", measure="v").collect()] == [("a", 1.5)]
+
+
+def test_intervals_keep_every_group_that_ties_exactly(spark):
+    """Sums whose last bits depend on the order: the groups of equal exact means are all found, and no other."""
+    values = [1e16, 1.0, -1e16, 3.0, 1e-3, 2.0**-60]
+    data = [(g, v) for g in range(5) for v in values[g:] + values[:g]] + [(9, v) for v in values[:-1]]
+    data += [(20, float("inf")), (21, float("-inf")), (22, float("inf")), (22, float("-inf")), (23, None), (24, float("nan"))]
+    frame = spark.createDataFrame(data, "club int, age double").repartition(5)
+    finite = frame.filter("club < 20")
+    assert sorted(r.club for r in extreme(finite, -1).collect()) == [0, 1, 2, 3, 4]
+    assert [r.club for r in extreme(finite, 1).collect()] == [9]
+    assert {r.club for r in extreme(frame, 2).collect()} >= {20}
+    assert extreme(frame, -1).collect()[0].club == 21
+    large = spark.createDataFrame([(1, 2**62), (1, 2**62), (1, 2**62 + 2), (2, 2**62), (2, 2**62)], "club int, age bigint")
+    assert [tuple(r)[0] for r in extreme(large, 1).collect()] in ([1], [1, 2])  # a double of the exact sum over the number

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from helpers import rows
+from helpers import plan, rows, unordered
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -98,3 +98,35 @@ def test_string_index_order(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), ("b",), ("d",)], "s string")
     model = features.string_indexer(["s"]).fit(frame)
     assert model.labels == ["b", "c", "a", "d"]
+
+
+def test_index_table_equals_the_indexer(spark):
+    data = [(k, v) for k, v in enumerate(["b", "a", "b", "c", "a", "b", "d"])]
+    frame = spark.createDataFrame(data, "k int, v string").repartition(3)
+    want = features.string_indexer(["v"]).fit(frame).transform(frame)
+    made = features.index_table(frame, "v")
+    assert unordered(made.transform(frame)) == unordered(want.select("k", "v", "v_index")) and made.size == 4
+    other = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "k int, v string")
+    assert unordered(made.transform(other, unseen="keep").select("k", "v_index")) == [(1, 1.0), (2, 4.0), (3, 4.0)]
+    assert unordered(made.transform(other, unseen="skip").select("k", "v_index")) == [(1, 1.0)]
+    with pytest.raises(Exception, match="has no index: z"):
+        made.transform(other.filter("k < 3")).collect()
+    with pytest.raises(ValueError):
+        made.transform(other, unseen="?")
+
+
+def test_index_table_of_many_values_is_not_broadcast(spark, monkeypatch):
+    frame = spark.range(2000).select((F.col("id") % 700).alias("v"), F.lit("x").alias("index"))
+    made = features.index_table(frame, "v")
+    small = plan(made.transform(frame))
+    assert "BroadcastHashJoin" in small
+    monkeypatch.setattr(features, "SMALL_INDEX", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    large = made.transform(frame, "number")
+    assert "SortMergeJoin" in plan(large)
+    got = {r.v: r.number for r in large.collect()}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    order = sorted(range(700), key=lambda v: (-len(range(v, 2000, 700)), v))
+    assert got == {v: float(i) for i, v in enumerate(order)}
+    empty = features.index_table(frame.limit(0), "v")
+    assert empty.size == 0 and empty.transform(frame.limit(0)).collect() == []

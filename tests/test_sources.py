@@ -5,7 +5,7 @@ from helpers import plan, rows, unordered
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perennia.sources import files, jdbc, schema, sinks
+from perennia.sources import files, inference, jdbc, schema, sinks
 from perennia.sources.scratch import scratch_path
 
 
@@ -130,3 +130,38 @@ def test_snapshots_by_name_and_csv_only(spark, tmp_path):
     got = files.read_snapshots(spark, str(tmp_path), "id int, name string, age int")
     assert got.columns == ["id", "name", "age", "year", "gender"]
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 20, 2015, "M"), (2, "b", 21, 2015, "M"), (3, None, 30, 2016, "F")]
+
+
+def test_types_are_those_of_all_files(spark, tmp_path):
+    (tmp_path / "x_15.csv").write_text("id,code,size,day,flag,none\n1,5,3,2020-01-02,true,\n2,,4,2021-12-31,FALSE,\n")
+    (tmp_path / "x_16.csv").write_text("code,id,size,day,none\nA7,3000000000,2.5e3,2020-01-02 10:11:12,NA\n9,4,-1,2020-02-03,\n")
+    found = {(r.snapshot, r.column_name): r.type for r in files.snapshot_types(spark, str(tmp_path), missing=["NA"]).collect()}
+    assert found["x_15.csv", "code"] == "int" and found["x_16.csv", "code"] == "string"
+    assert found["x_15.csv", "day"] == "date" and found["x_16.csv", "day"] == "timestamp"
+    inferred = files.infer_schema(spark, str(tmp_path), missing=["NA"])
+    assert {f.name: f.dataType.simpleString() for f in inferred} == {
+        "id": "bigint", "code": "string", "size": "double", "day": "timestamp", "flag": "boolean", "none": "string",
+    }
+    read = files.read_snapshots(spark, str(tmp_path), inferred.add("extra", "integer"))
+    assert unordered(read.select("id", "code", "size", "flag", "extra", "year")) == [
+        (1, "5", 3.0, True, None, 2015), (2, None, 4.0, False, None, 2015),
+        (3000000000, "A7", 2500.0, None, None, 2016), (4, "9", -1.0, None, None, 2016),
+    ]
+    assert files.read_snapshots(spark, str(tmp_path)).columns[-2:] == ["year", "gender"]
+
+
+def test_classes_of_values(spark):
+    values = {
+        "7": "int", "-2147483648": "int", "2147483648": "bigint", "+5": "int", "9" * 30: "double", "1.5": "double",
+        "-.5e3": "double", "NaN": "double", "2020-02-29": "date", "2021-02-29": "string", "2020-01-01T00:00": "timestamp",
+        "True": "boolean", "x": "string", "1_000": "string", "2020-1-1": "string", "": "string", None: "string",
+    }
+    frame = spark.createDataFrame(list(values.items()), "v string, want string")
+    got = frame.select("v", "want", inference.type_of(inference.value_class(F.col("v"))).alias("got")).collect()
+    assert [r for r in got if r.got != r.want] == []
+
+
+def test_types_of_nothing(spark, tmp_path):
+    assert files.snapshot_types(spark, str(tmp_path)).collect() == []
+    (tmp_path / "e_15.csv").write_text("a,b\n")
+    assert files.infer_schema(spark, str(tmp_path)).simpleString() == "struct<a:string,b:string>"
