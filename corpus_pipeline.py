@@ -47,7 +47,10 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id, once."""
+    """One document of each group of near copies stays: the one with the least id, once.
+
+    Of rows of one id that differ, the least in the order of the columns stays.
+    """
     prepare(spark)
     found = minhash.near_duplicates(docs)
     name = temporary("id")
@@ -56,7 +59,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows of one id are one document
     repeated = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias(name))
     once = named.join(repeated, F.col("doc_id") == F.col(name), "left_anti")
-    twice = named.join(repeated, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
+    twice = named.join(repeated, F.col("doc_id") == F.col(name), "left_semi")
+    row = F.struct("doc_id", *[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
+    twice = twice.groupBy("doc_id").agg(F.min(row).alias(name)).select(f"{name}.*").select(docs.columns)
     return once.unionByName(twice).unionByName(docs.filter("doc_id is null"))
 
 

@@ -90,7 +90,7 @@ def _listed(classes: DataFrame) -> DataFrame:
                     lists[k] = found
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lists, pa.list_(pa.int64()))], [*b.schema.names, "filters"])
 
-    schema = "rep long, label string, vector array<double>, copies long, dim int, filters array<long>"
+    schema = "rep long, label string, vector array<double>, copies long, dim int, many boolean, filters array<long>"
     return classes.mapInArrow(listed, schema)
 
 
@@ -109,7 +109,10 @@ def links_in_cell(vectors: np.ndarray, own: np.ndarray, apart: bool, earlier: np
 
 
 def _compared(members: DataFrame, least: float) -> DataFrame:
-    """For each cell: (rep, links, other), links counted in copies; other is a linked class or null."""
+    """For each cell: (rep, links, other), links counted in copies; other is a linked class.
+
+    Links of which a side has ``many`` come as rows of their own as well, without a number.
+    """
 
     def one(rows: pa.Table) -> pa.RecordBatch | None:
         direction, apart = rows["filter"][0].as_py(), rows["apart"][0].as_py()
@@ -128,7 +131,12 @@ def _compared(members: DataFrame, least: float) -> DataFrame:
         roots = reps[order][forest(linked[np.ix_(order, order)])]
         other = np.empty_like(roots)
         other[order] = roots
-        return batch({"rep": pa.array(reps[some]), "links": pa.array((linked @ copies)[some].astype(np.int64)), "other": pa.array(other[some])})
+        many = rows["many"].to_numpy(zero_copy_only=False).astype(bool)
+        a, b = np.nonzero(linked & (many[:, None] | many[None, :])) if many.any() else (some[:0], some[:0])
+        links = pa.array([*(linked @ copies)[some].astype(int).tolist(), *[None] * len(a)], pa.int64())
+        return batch({
+            "rep": pa.array(np.concatenate([reps[some], reps[a]])), "links": links, "other": pa.array(np.concatenate([other[some], reps[b]])),
+        })
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -159,26 +167,48 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     Two vectors of equal label are linked if their cosine is at least ``least``; n_links counts the other ids linked
     directly, component_id is the least id reachable.  Vectors that are null, empty, zero or hold null or non-finite components, and
     those without a label, are linked with nothing; a row without an id has a null component and is kept.  Repeated rows stay and
-    are one vector.  Vectors of different length are never linked.
+    are one vector; an id with different vectors is linked with what any of them is linked with.  Vectors of different length are
+    never linked.
     """
     rows = vectors.select(F.col(id).cast("long").alias("vec"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).cast("string").alias("label"))
     rows = rows.withColumn("fit", usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec").isNotNull())
-    classes = rows.filter("fit").groupBy("label", "vector").agg(F.min("vec").alias("rep"), F.count_distinct("vec").alias("copies"))
-    classes = classes.select("rep", "label", "vector", "copies", F.size("vector").alias("dim"))
-    listed = stored(_listed(classes))
+    there = rows.filter("fit").groupBy("label", "vector", "vec").agg(F.count("*").alias("n"))
+    often = there.groupBy("vec").agg(F.count("*").alias("n")).filter("n > 1").select("vec", F.lit(True).alias("several"))
+    often = stored(often)  # ids with different vectors
+    there = there.join(often, "vec", "left")
+    # copies are the ids of this vector only
+    classes = there.groupBy("label", "vector").agg(
+        F.min("vec").alias("least"), F.count_if(F.col("several").isNull()).alias("copies"), (F.count("several") > 0).alias("many")
+    )
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()))  # a number of its own for each vector
+    listed = stored(_listed(classes.select("rep", "label", "vector", "copies", F.size("vector").alias("dim"), "many")))
     where = listed.select("rep", "label", "dim", F.explode("filters").alias("filter"))
     shared = where.groupBy("label", "dim", "filter").agg(F.count("*").alias("m")).filter("m > 1")
     members = where.join(shared, ["label", "dim", "filter"])
     members = in_blocks(members, F.ceil(F.col("m") / BLOCK).cast("int"), "rep")
     cell = F.xxhash64("label", "dim", "filter", F.least("own", "other"), F.greatest("own", "other"))
     members = members.select("rep", "label", "filter", "own", (F.col("own") != F.col("other")).alias("apart"), cell.alias("cell"))
-    members = members.join(listed.select("rep", "label", "vector", "copies", "filters"), ["rep", "label"])
+    members = members.join(listed.select("rep", "vector", "copies", "many", "filters"), "rep")
     found = stored(_compared(members, least))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    # classes of one id are connected, and ids with different vectors are counted by themselves
+    held = stored(there.filter("several").join(classes.select("label", "vector", "rep"), ["label", "vector"]).select("vec", "rep"))
+    one = held.groupBy("vec").agg(F.min("rep").alias("b")).join(held, "vec").select(F.col("rep").alias("a"), "b")
+    roots = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(one))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    placed = listed.select("rep", "label", "vector", "copies").join(counts, "rep", "left").join(roots.toDF("rep", "root"), "rep", "left")
-    placed = placed.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("root", "rep").alias("root"), F.lit(True).alias("fit"))
-    out = rows.join(placed, ["fit", "label", "vector"], "left")
+    near = found.filter("links is null").select("rep", "other").unionByName(held.select("rep", F.col("rep").alias("other"))).distinct()
+    with_id = held.select(F.col("rep").alias("other"), F.col("vec").alias("id"))
+    others = near.join(with_id, "other").select("rep", "id").distinct().groupBy("rep").agg(F.count("*").alias("others"))
+    of_id = near.join(held, "rep").select("vec", "other").distinct()
+    alone = of_id.join(classes.select(F.col("rep").alias("other"), "copies"), "other").groupBy("vec").agg(F.sum("copies").alias("alone"))
+    beside = of_id.join(with_id, "other").select("vec", "id").distinct().groupBy("vec").agg(F.count("*").alias("beside"))
+    of_id = alone.join(beside, "vec").select("vec", (F.col("alone") + F.col("beside") - 1).alias("n_id"), F.lit(True).alias("fit"))
+
+    placed = classes.join(counts, "rep", "left").join(others, "rep", "left").join(roots.toDF("rep", "number"), "rep", "left")
+    placed = placed.withColumn("number", F.coalesce("number", "rep"))
+    root = placed.groupBy("number").agg(F.min("least").alias("root"))
+    number = F.coalesce("links", F.lit(0)) + F.col("copies") + F.coalesce("others", F.lit(0)) - 1
+    placed = placed.join(root, "number").select("label", "vector", number.alias("n"), "root", F.lit(True).alias("fit"))
+    out = rows.join(placed, ["fit", "label", "vector"], "left").join(of_id, ["fit", "vec"], "left").withColumn("n", F.coalesce("n_id", "n"))
     component = F.coalesce("root", "vec")
     return out.select(
         F.col("vec").alias("vec_id"),

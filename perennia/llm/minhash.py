@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import batch
+from perennia.llm.common import batch, begin
 from perennia.llm.components import components, forest
 from perennia.llm.vectors import in_blocks
 from perennia.sources.scratch import stored
@@ -96,6 +96,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc, n (size of the set), two halves of the set's fingerprint, half keys and sketch; nulls for empty sets."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash")
         for b in batches:
             sizes, prints, keys, sketches = [], [], [], []
             for text in b[1].to_pylist():
@@ -177,21 +178,38 @@ def _open_cells(tables: DataFrame, classes: DataFrame, roots: DataFrame) -> Data
     return dealt.select(F.col("rep").alias("doc"), "root", cell, "own", (F.col("own") != F.col("other")).alias("apart"))
 
 
-def _open_links(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
+def _texts_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """``wanted`` (doc, the number of a class, and more) with the texts of the class's least id and its fingerprint.
+
+    An id may have other texts too: those whose set has another fingerprint are passed over by ``_own_set``.
+    """
+    wanted = stored(wanted.join(classes.select(F.col("rep").alias("doc"), "least", "f0", "f1"), "doc"))
+    texts = docs.select(F.col("doc").alias("least"), "text")
+    return _needed(texts, wanted.select("least"), "least").join(wanted, "least").drop("least")
+
+
+def _own_set(text: str | None, width: int, f0: int, f1: int) -> bytes | None:
+    shingles = shingle_set(text, width)
+    return shingles.tobytes() if _print(shingles) == [f0, f1] else None
+
+
+def _open_links(docs: DataFrame, cells: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between components, found on the full sets of each cell; as many as join what is linked there."""
     wanted = cells.groupBy("doc").agg(F.first("root").alias("root"), F.collect_list(F.struct("cell", "own", "apart")).alias("to"))
-    wanted = stored(wanted)
-    texts = _needed(docs, wanted.select("doc")).join(wanted, "doc")
+    texts = _texts_of(docs, wanted, classes)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, text, root, to in zip(*(b[c].to_pylist() for c in ("doc", "text", "root", "to")), strict=True):
-                packed = shingle_set(text, width).tobytes()
+            for doc, text, root, to, *f in zip(*(b[c].to_pylist() for c in ("doc", "text", "root", "to", "f0", "f1")), strict=True):
+                packed = _own_set(text, width, *f)
+                if packed is None:
+                    continue
                 columns = {c: pa.array([t[c] for t in to], k) for c, k in (("cell", pa.int64()), ("own", pa.int32()), ("apart", pa.bool_()))}
                 columns |= {c: pa.array([v] * len(to), pa.int64()) for c, v in (("doc", doc), ("root", root))}
                 yield batch(columns | {"shingles": pa.array([packed] * len(to), pa.binary())})
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash")
         kept: pa.Table | None = None
         for b in batches:
             kept = pa.concat_tables([kept, pa.Table.from_batches([b])]) if kept else pa.Table.from_batches([b])
@@ -208,7 +226,7 @@ def _open_links(docs: DataFrame, cells: DataFrame, width: int, percent: int) ->
             yield _links_of_cell(rows.slice(starts[k], starts[k + 1] - starts[k]), percent)
         return rows.slice(starts[max(last, 0)]).combine_chunks()
 
-    spread = texts.select("doc", "text", "root", "to").mapInArrow(
+    spread = texts.select("doc", "text", "root", "to", "f0", "f1").mapInArrow(
         sets, "cell long, own int, apart boolean, doc long, root long, shingles binary"
     )
     dealt = spread.repartition("cell").sortWithinPartitions("cell", "doc")
@@ -220,8 +238,7 @@ def _links_of_cell(rows: pa.Table, percent: int) -> pa.RecordBatch:
     found: dict[int, tuple[int, np.ndarray]] = {}
     for k, packed in enumerate(rows["shingles"].to_pylist()):
         shingles = np.frombuffer(packed, np.uint64)
-        if len(shingles) and (docs[k] not in found or _print(shingles) < _print(found[docs[k]][1])):
-            found[docs[k]] = k, shingles  # of several texts of one id, that of the least fingerprint
+        found.setdefault(docs[k], (k, shingles))  # rows of one text are one
     some = np.array([k for k, _ in found.values()], np.int64)
     docs, roots, own = docs[some], roots[some], own[some]
     none = batch({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
@@ -258,9 +275,9 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most of the rows whose doc is not in ``ids``: a filter of fixed size, right for any number."""
-    place = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+def _needed(docs: DataFrame, ids: DataFrame, id: str) -> DataFrame:
+    """``docs`` without most of the rows whose ``id`` is not in ``ids``: a filter of fixed size, right for any number."""
+    place = F.pmod(F.xxhash64(id), F.lit(FILTER_BITS))
     words = ids.select(place.alias("p")).groupBy((F.col("p") / 32).cast("int").alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("bits")
     )
@@ -274,11 +291,11 @@ def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
         p = places.to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.array((shared.value[p >> 5] >> (p & 31).astype(np.uint32) & 1).astype(bool))
 
-    return docs.filter("doc is not null").filter(maybe(place))
+    return docs.filter(F.col(id).isNotNull()).filter(maybe(place))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; ``docs`` (doc, text) holds their texts."""
+def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough; ``docs`` (doc, text) holds their texts."""
     pairs = stored(pairs.select("a", "b"))
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     sent = pairs.join(sizes, "b").select(
@@ -286,13 +303,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     )
     own = sizes.select(F.col("b").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     own = own.select("doc", F.struct(F.col("doc").alias("b"), "part").alias("to"))
-    wanted = stored(sent.unionByName(own).groupBy("doc").agg(F.collect_list("to").alias("to")))
-    texts = _needed(docs, wanted.select("doc")).join(wanted, "doc")
+    texts = _texts_of(docs, sent.unionByName(own).groupBy("doc").agg(F.collect_list("to").alias("to")), classes)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, text, to in zip(b["doc"].to_pylist(), b["text"].to_pylist(), b["to"].to_pylist(), strict=True):
-                packed = shingle_set(text, width).tobytes()
+            for doc, text, to, *f in zip(*(b[c].to_pylist() for c in ("doc", "text", "to", "f0", "f1")), strict=True):
+                packed = _own_set(text, width, *f)
+                if packed is None:
+                    continue
                 yield batch(
                     {
                         "b": pa.array([t["b"] for t in to], pa.int64()),
@@ -307,8 +325,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
         found: dict[int, np.ndarray] = {}
         for doc, packed in zip(rows["doc"], rows["shingles"], strict=True):
             shingles = np.frombuffer(packed, np.uint64)
-            if len(shingles) and (doc not in found or _print(shingles) < _print(found[doc])):
-                found[doc] = shingles  # of several texts of one id, that of the least fingerprint
+            found.setdefault(doc, shingles)  # rows of one text are one
         own = found.pop(centre, np.empty(0, np.uint64))
         out = []
         for doc, other in found.items():
@@ -317,33 +334,41 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
                 out.append((doc, centre))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    spread = texts.select("doc", "text", "to").mapInArrow(sets, "b long, part int, doc long, shingles binary")
+    spread = texts.select("doc", "text", "to", "f0", "f1").mapInArrow(sets, "b long, part int, doc long, shingles binary")
     return stored(spread.groupBy("b", "part").applyInPandas(linked, "a long, b long"))
 
 
+def _of_one_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that the texts of one id belong to."""
+    there = signed.filter("n > 0 and doc is not null").groupBy("doc", "f0", "f1").agg(F.count("*").alias("copies"))
+    several = there.groupBy("doc").agg(F.count("*").alias("texts")).filter("texts > 1").select("doc")
+    there = there.join(several, "doc").join(classes.select("f0", "f1", "rep"), ["f0", "f1"]).select("doc", "rep")
+    first = there.groupBy("doc").agg(F.min("rep").alias("b"))
+    return stored(there.join(first, "doc").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct())
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
     Two documents are linked if the shingles they share are at least ``percent`` of a hundred of those that either
     has; component_id is the least id reachable over links.  A text without words is linked with nothing, and neither
-    is a row without an id: its component_id is null and it is kept.  Repeated rows stay, in one component.  Of an id with
-    different texts, the text whose set has the least fingerprint is compared with other documents.  Other columns are not looked at.
+    is a row without an id: its component_id is null and it is kept.  Repeated rows stay, in one component.  An id with
+    different texts is linked with what is similar to any of them.  Other columns are not looked at.
     """
     docs = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
     signed = stored(signatures(docs, width))
     equal = signed.filter("n > 0 and doc is not null").groupBy("f0", "f1").agg(
-        F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+        F.min("doc").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
     )
-    equal = stored(equal)
-    # an id with several texts stands for one class only
-    classes = equal.groupBy("rep").agg(F.min(F.struct("f0", "f1", "n", "keys", "sketch")).alias("c")).select("rep", "c.*")
-    classes = stored(classes.drop("f0", "f1"))
+    classes = stored(equal.withColumn("rep", F.monotonically_increasing_id()))  # a number of its own for each set
     tables = stored(_tables(classes))
-    links = confirmed(docs, _star_pairs(tables, classes, percent), width, percent)
+    links = confirmed(docs, _star_pairs(tables, classes, percent), classes, width, percent).unionByName(_of_one_id(signed, classes))
     roots = components(links)
-    more = _open_links(docs, _open_cells(tables, classes, roots), width, percent)
+    more = _open_links(docs, _open_cells(tables, classes, roots), classes, width, percent)
     roots = components(links.unionByName(more))
-    placed = equal.join(roots.toDF("rep", "root"), "rep", "left").select("f0", "f1", F.coalesce("root", "rep").alias("root"))
+    placed = classes.join(roots.toDF("rep", "number"), "rep", "left").select("f0", "f1", "least", F.coalesce("number", "rep").alias("number"))
+    least = placed.groupBy("number").agg(F.min("least").alias("root"))
+    placed = placed.join(least, "number").select("f0", "f1", "root")
     found = signed.select("doc", "n", "f0", "f1").join(placed, ["f0", "f1"], "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("root", "doc"))
     return found.select(

@@ -243,3 +243,29 @@ def test_queries_equal_their_sql(spark, name):
     want = base.sql(SQL[name])
     order = [frame.columns.index(c) for c in want.columns]
     assert sorted(str(tuple(r[k] for k in order)) for r in frame.collect()) == sorted(str(tuple(r)) for r in want.fetchall())
+
+
+def test_an_id_with_different_texts(make_docs):
+    """Ids are linked with what any of their texts is similar to, and with nothing else."""
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(9, a), (9, b), (20, b), (30, b + " more"), (30, b + " more"), (40, "else " * 3), (5, a + " last"), (9, None)]
+    for seed in range(3):
+        mixed = rows[seed:] + rows[:seed]
+        got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(make_docs(mixed).repartition(3), width=4).collect()}
+        assert got == {(9, 77): 5, (20, 77): 5, (30, 78): 5, (40, 1): 40, (5, 78): 5, (9, 0): 9}
+
+
+def test_an_id_with_different_vectors(spark):
+    rng = np.random.default_rng(8)
+    base, other = rng.normal(size=16), rng.normal(size=16)
+    near = [(base + 1e-3 * rng.normal(size=16)).tolist() for _ in range(5)]
+    rows = [(9, near[0], 1), (9, near[1], 1), (20, near[2], 1), (30, near[3], 1), (30, near[3], 1), (31, near[3], 1)]
+    rows += [(9, other.tolist(), 1), (50, (other * 2).tolist(), 1), (60, (-other).tolist(), 1), (70, near[4], 2), (9, near[4], 2)]
+    links = {}
+    for i, v, label in rows:
+        for j, w, other_label in rows:
+            cosine = np.dot(v, w) / np.sqrt(np.dot(v, v) * np.dot(w, w))
+            if i != j and label == other_label and cosine >= 0.98:
+                links.setdefault(i, set()).add(j)
+    got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in caps.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {(i, len(links.get(i, ())), 9 if i != 60 else 60) for i, _, _ in rows}
