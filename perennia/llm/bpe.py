@@ -26,14 +26,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm.common import temporary
+from perennia.llm.common import begin, temporary
 
 #: Symbols of a unit that are encoded in one go.
 PIECE = 2048
 #: Characters of a text from which its pieces are dealt out over the tasks.
 LONG = 65536
-#: Units, and words, in each of the two generations that a worker remembers.
-REMEMBERED = 160_000
+#: Units in each of the two generations that a worker remembers.
+REMEMBERED = 200_000
 #: Bytes of a vocabulary file; it is sent to every worker.
 VOCABULARY_BYTES = 64 << 20
 
@@ -54,6 +54,7 @@ class Codec:
         size = self.whole.get_vocab_size(with_added_tokens=True)
         self.strings = [self.whole.id_to_token(i) or "" for i in range(size)]
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.added_lower = [a.lower() for a in self.added]
         self.end = self.whole.model.end_of_word_suffix or ""
         self.closing = self.whole.model
         if hasattr(self.closing, "_resize_cache"):  # words are remembered here, a second memory only costs time
@@ -61,8 +62,13 @@ class Codec:
         self.vocabulary = vocabulary
         # how the model's alphabet spells the lower-case letters beyond ASCII that plain words may have
         self.letters = {ord(c): self.pre_token(c) for c in "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"}
+        self.plain = True
         self.units: dict[str, bytes] = _Memory(self._unit)
-        self.words: dict[str, bytes] = _Memory(self._word)
+        apart = [self.whole.encode(t, add_special_tokens=False).ids for t in ("ab", "cd", "ab cd", " ab\n\tcd ")]
+        if not apart[0] + apart[1] == apart[2] == apart[3]:
+            raise ValueError("this vocabulary does not take words apart at white space")
+        self.plain = self._is_plain()
+        self.units.clear()
 
     @cached_property
     def inner(self):
@@ -79,16 +85,28 @@ class Codec:
         """Token ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        return b"".join(map(self.units.__getitem__, _spaced(text).split(" ")))
+        text = _spaced(text)
+        if self.plain:  # A-Z are a-z then, but in added tokens
+            lower = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            text = text if any(a in lower for a in self.added_lower) else lower
+        return b"".join(map(self.units.__getitem__, text.split(" ")))
+
+    def _is_plain(self) -> bool:
+        """Whether this vocabulary treats plain words, and marks after them, as ``_unit`` does."""
+        letters = [chr(c) for c in range(0x250) if _PLAIN(chr(c))]
+        units = [a + b for a in letters for b in ("", "b", *_MARKS)] + [f"a{c}{d}" for c in _MARKS for d in _MARKS]
+        whole = self.whole.encode_batch([*units, "b" + "".join(letters)], add_special_tokens=False)
+        return all(self._unit(u) == _packed(w.ids) for u, w in zip([*units, "b" + "".join(letters)], whole, strict=True))
 
     def _unit(self, unit: str) -> bytes:
         size = len(unit)
         if size <= PIECE:
             word = unit.rstrip(_MARKS)
-            if word.isalpha() and (word.isascii() or _PLAIN(word)):
-                ids = self.words[word.lower()]
-                at = len(word)
-                return ids if at == size else ids + self.words[unit[at:]]
+            if self.plain and word.isalpha() and (word.isascii() or _PLAIN(word)):
+                lower, at = word.lower(), len(word)
+                if at < size:
+                    return self.units[lower] + self.units[unit[at:]]
+                return self._word(word) if lower == word else self.units[lower]
             return _packed(self.whole.encode(unit, add_special_tokens=False).ids)
         return b"".join(
             _packed([word]) if isinstance(word, int) else self.long_word(word) for word in self.pre_tokens(unit)
@@ -111,7 +129,7 @@ class Codec:
         return self.whole.pre_tokenizer.pre_tokenize_str(word)[0][0] if self.whole.pre_tokenizer else word
 
     def _word(self, word: str) -> bytes:
-        """One pre-token of plain letters or marks."""
+        """One word of plain lower-case letters."""
         if not word.isascii():
             word = word.translate(self.letters)
         return _packed([*map(_ID, self.closing.tokenize(word))])
@@ -196,6 +214,7 @@ _CODECS: dict[int, Codec] = {}
 
 def codec(vocabulary: Broadcast) -> Codec:
     """The worker's codec of a broadcast vocabulary; made once in a process."""
+    begin("bpe", _CODECS.clear)
     text = vocabulary.value
     key = hash(text)
     if key not in _CODECS:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -26,3 +27,17 @@ def temporary(name: str) -> str:
 
 def batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def begin(operator: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in a worker where an operator's code starts; ``forget`` empties what it keeps from task to task.
+
+    Workers are used again by later operators, beside which nothing of an earlier one is kept.
+    """
+    for other in [name for name in _KEPT if name != operator]:
+        _KEPT.pop(other)()
+    if forget:
+        _KEPT[operator] = forget

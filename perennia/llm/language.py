@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import batch, temporary
+from perennia.llm.common import batch, begin, temporary
 from perennia.sources.scratch import stored
 
 #: Hash buckets of trigrams, and pseudo counts of each.
@@ -130,6 +130,7 @@ def likelihood_column(text: Column, model: LanguageModel) -> Column:
 
     @F.arrow_udf("array<double>")
     def likelihoods(texts: pa.Array) -> pa.Array:
+        begin("language")
         out = []
         for t in texts.to_pylist():
             found = trigrams(t)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perennia.llm.common import batch, temporary
+from perennia.llm.common import batch, begin, temporary
 from perennia.sources.scratch import stored
 
 #: Pairs of item and term of one automaton: more items are searched for in several scans.
@@ -62,6 +62,7 @@ _BUILT: dict[str, Automaton] = {}
 
 def _automaton(name: str, terms) -> Automaton:
     """The automaton of a broadcast list of terms, built once in a worker; a worker keeps one."""
+    begin("lexical", _BUILT.clear)
     if name not in _BUILT:
         _BUILT.clear()
         _BUILT[name] = Automaton(terms.value)

@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import temporary
+from perennia.llm.common import begin, temporary
 from perennia.sources.scratch import stored
 
 # Words that insult in the languages of the corpus.
@@ -194,6 +194,7 @@ def _family_weights(rows: DataFrame) -> DataFrame:
 def features_column(text: Column, lexicon: dict[str, int]) -> Column:
     @F.arrow_udf("array<float>")
     def features(texts: pa.Array) -> pa.Array:
+        begin("toxicity")
         return pa.array([features_of(t, lexicon) for t in texts.to_pylist()], pa.list_(pa.float32()))
 
     return features.asNondeterministic()(text)
