@@ -26,14 +26,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm.common import begin, temporary
+from perennia.llm.common import begin, give_back, temporary
 
 #: Symbols of a unit that are encoded in one go.
 PIECE = 2048
 #: Characters of a text from which its pieces are dealt out over the tasks.
 LONG = 65536
 #: Units in each of the two generations that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 #: Bytes of a vocabulary file; it is sent to every worker.
 VOCABULARY_BYTES = 64 << 20
 
@@ -220,6 +220,7 @@ def codec(vocabulary: Broadcast) -> Codec:
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(text)
+        give_back()  # reading the file takes as much again as what is kept
     return _CODECS[key]
 
 

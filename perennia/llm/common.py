@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -29,6 +32,14 @@ def batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def give_back() -> None:
+    """What was freed goes back to the machine, of which an executor has a share only."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _KEPT: dict[str, Callable[[], None]] = {}
 
 
@@ -37,7 +48,10 @@ def begin(operator: str, forget: Callable[[], None] | None = None) -> None:
 
     Workers are used again by later operators, beside which nothing of an earlier one is kept.
     """
-    for other in [name for name in _KEPT if name != operator]:
+    others = [name for name in _KEPT if name != operator]
+    for other in others:
         _KEPT.pop(other)()
+    if others:
+        give_back()
     if forget:
         _KEPT[operator] = forget
