@@ -38,8 +38,7 @@ def statistics_of(text: str | None) -> list[float]:
     n, tokens, lines = len(text), text.split(), [x for x in text.split("\n") if x.strip()]
     w, raw = max(1, len(tokens)), text.encode()
     counts = Counter(tokens)
-    letters = max(1, sum(map(str.isalpha, text)) if n < 200 else _letters(text))
-    upper = sum(map(str.isupper, text)) if n < 200 else _uppers(text)
+    letters, upper = max(1, _letters(text)), _uppers(text)
     words = _WORD.findall(text)
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
     repeats = sum(a == b for a, b in zip(tokens, tokens[1:]))
@@ -79,13 +78,15 @@ def statistics_of(text: str | None) -> list[float]:
 
 
 def _letters(text: str) -> int:
+    """Characters of words that are no digits and no underscores."""
     return len(text) - len(re.sub(r"[^\W\d_]", "", text))
 
 
 def _uppers(text: str) -> int:
+    """Characters that lower case changes."""
     lower = text.lower()
-    if len(lower) != len(text):
-        return sum(map(str.isupper, text))
+    if len(lower) != len(text):  # some become several
+        return sum(c.lower() != c for c in text)
     a, b = (np.frombuffer(x.encode("utf-32-le", "replace"), np.uint32) for x in (text, lower))
     return int((a != b).sum())
 

@@ -208,6 +208,13 @@ def license_model(spark):
     return licenses.learn(table(spark, FOLDER, "documents"))
 
 
+def test_statistics_do_not_depend_on_the_length_of_a_text():
+    texts = ["Ab\u00b2 ", "\u0130i\u01c5 ", "\u03a3\u03c3 ", "A1_ "]
+    for text in texts:
+        short, long = quality.statistics_of(text * 3), quality.statistics_of(text * 300)
+        assert short[6:8] == pytest.approx(long[6:8])
+
+
 def test_license_rows(spark, make_docs, license_model):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [
