@@ -28,8 +28,6 @@ from perennia.sources.scratch import stored
 GROUP = 8192
 #: Bins filled less than this share are dealt again.
 SPARSE = 0.97
-#: Rounds of exchanges over a group's bins.
-ROUNDS = 3
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -119,12 +117,14 @@ def pack(
         result = stored(left.withColumn(key, dealt).groupBy(key).applyInPandas(packed, schema))
         if groups == 1:
             return done.unionByName(result)
-        fill = result.groupBy("sequence_id").agg(F.sum(size).alias(key))
-        sequences = fill.filter(F.col(key) < sparse * capacity).select("sequence_id")
+        fill = result.groupBy("sequence_id").agg(F.sum(size).alias(key), F.count("*").alias("n"))
+        fill = stored(fill.filter(F.col(key) < sparse * capacity))
+        of = fill.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pieces"), F.percentile_approx(key, 0.5).alias("middle")).first()
+        if of["pieces"] > 0.9 * count:  # most lengths fill no sequence: deal the emptier half of the sequences
+            fill = fill.filter(F.col(key) < of["middle"])
+        sequences = fill.select("sequence_id")
         loose = stored(result.join(sequences, "sequence_id", "left_semi").select(result.columns))
         done = done.unionByName(result.join(sequences, "sequence_id", "left_anti").select(result.columns))
-        if loose.count() > 0.9 * count:  # dealing them again would not help
-            return done.unionByName(loose)
         left, turn = loose.select(columns), turn + 1
 
 
@@ -132,9 +132,7 @@ def pack_group(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarr
     """The bin of each length and its place there."""
     bins = _best_fit(lengths.tolist(), capacity)
     least = -(-int(lengths.sum()) // capacity)
-    for _ in range(ROUNDS):
-        if len(bins) <= least or not _exchange(bins, lengths.tolist(), capacity):
-            break
+    while len(bins) > least and _exchange(bins, lengths.tolist(), capacity):
         bins = [b for b in bins if b]
     sequences, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for number, members in enumerate(b for b in bins if b):

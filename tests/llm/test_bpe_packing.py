@@ -124,6 +124,13 @@ def test_several_rounds(spark):
     assert got["sequence_id"].nunique() <= 1.02 * got["length"].sum() / 1024
 
 
+def test_lengths_that_fill_no_sequence_are_dealt_until_nothing_is_left_to_gain(spark):
+    pieces = spark.range(12000).select(F.col("id"), F.when(F.col("id") % 2 == 0, 1100).otherwise(700).alias("length"))
+    got = packing.pack(pieces, capacity=2048, group=1000).toPandas()
+    assert len(got) == 12000 and got.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert got["sequence_id"].nunique() == 6000
+
+
 def test_digest_query_matches_the_library(spark, library):
     from perennia.llm.catalog import QUERIES, table
 
