@@ -34,6 +34,8 @@ from perennia.sources.scratch import stored
 
 #: Bytes of records in a package, and bytes of a range that is read at once (a larger record is a range of its own).
 PACKAGE_BYTES, RANGE_BYTES = 16 << 20, 4 << 20
+#: Bytes of archives that a task reads.
+TASK_BYTES = 128 << 20
 #: Names of the stored members.
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Identifiers of records are made from this and what they hold.
@@ -292,5 +294,15 @@ def read(ranges: DataFrame, with_payload: bool = True) -> DataFrame:
                 names = ("page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload")
                 yield batch({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
 
-    dealt = ranges.repartition("package", "start")
-    return dealt.select("package", "start", "length").mapInArrow(records, _RECORD)
+    table = stored(ranges.select("package", "start", "length"))
+    return table.repartition(_read_tasks(table)).mapInArrow(records, _RECORD)
+
+
+def _read_tasks(ranges: DataFrame) -> int:
+    """A task for every ``TASK_BYTES`` of archive, at least the session's shuffle partitions if there are as many ranges.
+
+    The number is given because ranges are tiny rows, which adaptive execution would put into one partition.
+    """
+    of = ranges.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    wanted = max(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(of["bytes"] or 0) // TASK_BYTES))
+    return max(1, min(of["n"], wanted))

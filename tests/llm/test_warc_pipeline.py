@@ -8,6 +8,7 @@ import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from perennia.llm import warc
 
@@ -95,6 +96,16 @@ def test_round_trip(spark, tmp_path, least, size, wide):
     assert texts[6] == ("long " * 300000).encode() and texts[5] == "é\r\n\r\nWARC/1.1\r\n".encode()
 
 
+def test_reading_is_dealt_over_tasks(spark, tmp_path):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 20).alias("html"))
+    packages = warc.write(warc.with_revisits(pages), str(tmp_path / "many"), size=1 << 16)
+    ranges = warc.located(packages, range_bytes=1 << 12)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ranges.count() >= tasks
+    records = warc.read(ranges).select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert len(records) == 400 and len({r.task for r in records}) == tasks
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     packages = warc.write(warc.with_revisits(pages), f"file://{tmp_path}/none")
