@@ -28,7 +28,7 @@ def outlier_columns(df: DataFrame, exclude: Sequence[str] = (), ints_only: bool
 
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, **options) -> DataFrame:
-    """Exact quartiles and ``q1 - k * iqr`` / ``q3 + k * iqr`` per column, fitted in two passes.
+    """Exact quartiles and ``q1 - k * iqr`` / ``q3 + k * iqr`` per column, fitted in five passes.
 
     The result is a small table that can be stored and used on other rows.
     """

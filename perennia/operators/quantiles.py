@@ -1,35 +1,41 @@
-"""Exact quantiles of many columns at once, with bounded memory per task.
+"""Exact quantiles of many columns at once, in a fixed number of passes with bounded memory per task.
 
 The built-in exact aggregates keep every distinct value of a column in one task.  Here
-the columns are read as (column, value) rows and combined in the tasks:
-
-* Whole-number columns with a narrow range: rows per value, then a running count over
-  at most ``NARROW`` values.
-* All others: a sketch proposes two values around each quantile, and a counting pass
-  tells how many rows lie below, on and between them.  Either one of the two is the
-  answer, or the rows strictly between them are few enough to sort, or the search goes
-  on among those.  A round divides the candidates by about ``accuracy / 6``.
-
-The driver sees counts and proposals only, and a value that a third of the rows share
-is settled by its count.
+a double is read as 64 bits whose order as an unsigned number is that of the values, and
+the value at a rank is found digit by digit from the highest on:
+
+* A pass counts the digits that follow what is already known of each wanted value, for
+  all columns and probabilities together.  A task counts in arrays and emits one row per
+  digit it has seen.
+* The sums of these rows, running over the digits of one prefix, tell in which digit the
+  rank lies and how many rows are below; only those two numbers reach the driver, and of the
+  first pass the counts by sign and exponent, at most 4,096 a column, which give the ranks.
+
+Five digits make a double, so every column takes five passes, whatever its type, its
+range, the number of its rows or how often a value repeats.  The minimum and the maximum
+are the first and the last rank of the same search.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perennia.functions import field, is_integral
+from perennia.functions import field
 from perennia.sources.schema import small_table
 
-NARROW = 100_000  # distinct values counted one by one
-EXACT = 2**53  # whole numbers below have a double of their own
-SEARCHES_PER_PASS = 96  # groups that Spark's object aggregates hold without sorting
+BITS = 64
+FIRST, DIGIT = 12, 13  # bits of the first digit (sign and exponent) and of the others; the last one has the rest
+CELLS = 4_000_000  # counters a task holds before it emits them
+_COUNTS = "place int, digit int, n long"
 
 
 @dataclass(frozen=True)
@@ -53,79 +59,44 @@ class ColumnQuantiles:
 
 @dataclass
 class _Search:
-    """One quantile of one column: the ``rank``-th of the ``size`` rows in an open interval."""
+    """The value at a rank of one column: the first bits of it, and its rank among the rows that share them."""
 
     column: int
-    prob: float
+    wanted: int  # rank among all rows
     rank: int
-    size: int
-    low: float | None = None
-    high: float | None = None
-    proposal: tuple[float, float] | None = None
-    answer: float | None = None
-
-    def advance(self, below: int, on_low: int, middle: int, on_high: int, found: float | None) -> None:
-        low, high = self.proposal
-        to_low = below + on_low
-        to_middle = to_low + middle
-        to_high = to_middle + on_high
-        if self.rank <= below:
-            self.high, self.size = low, below
-        elif self.rank <= to_low:
-            self.answer = low
-        elif self.rank <= to_middle and found is not None:
-            self.answer = found
-        elif self.rank <= to_middle:
-            self.low, self.high, self.rank, self.size = low, high, self.rank - to_low, middle
-        elif self.rank <= to_high:
-            self.answer = high
-        else:
-            self.low, self.rank, self.size = high, self.rank - to_high, self.size - to_high
+    prefix: int = 0
+    same: int = 0  # rows with these first bits
 
 
 def fit_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float] = (0.25, 0.5, 0.75),
-    *,
-    accuracy: int = 10_000,
-    gather: int = 100_000,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), *, digit: int = DIGIT
 ) -> list[ColumnQuantiles]:
     """Smallest value whose cumulative share of the rows reaches each probability.
 
-    ``gather`` bounds the values of a quantile that are ever sorted together.  Narrow
-    columns take two passes; others three up to about ``gather * accuracy / 6`` rows,
-    and two more for every further round.
+    Reads ``df`` once for the first digit and once for each following one of ``digit`` bits, five times by default; a table that is
+    costly to compute is better stored before.  Values are compared as doubles, and the two
+    zeros are one value.
     """
     cols, probs = list(cols), list(probs)
-    stats = _cells(df, cols).groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    extent = {row.c: row for row in stats.collect()}
-    answers: dict[tuple[int, float], float] = {}
-    between: dict[int, int] = {}
-    narrow = [
-        c
-        for c, e in extent.items()
-        if is_integral(df.schema[cols[c]].dataType)
-        and e.high - e.low < NARROW
-        and max(abs(e.low), abs(e.high)) < EXACT
-    ]
-    if narrow:
-        _by_counting(df, cols, narrow, probs, extent, answers, between)
-    others = [c for c in extent if c not in narrow]
-    step = max(1, SEARCHES_PER_PASS // max(1, len(probs)))
-    for start in range(0, len(others), step):
-        _by_search(df, cols, others[start : start + step], probs, extent, answers, between, accuracy, gather)
-    return [
-        ColumnQuantiles(
-            name,
-            extent[c].n if c in extent else 0,
-            extent[c].low if c in extent else None,
-            extent[c].high if c in extent else None,
-            between.get(c, 0),
-            {p: answers.get((c, p)) for p in probs},
-        )
-        for c, name in enumerate(cols)
-    ]
+    if not cols:
+        return []
+    values = df.select(*[field(name).cast("double").alias(f"v{c}") for c, name in enumerate(cols)])
+    # of each column the wanted ranks; the first and the last one give the extremes
+    places = [(c, 0) for c in range(len(cols))]
+    shift = BITS - FIRST
+    first = _digit_counts(values, places, shift, FIRST).groupBy("place", "digit").agg(F.sum("n").alias("n")).collect()
+    sizes: Counter[int] = Counter()
+    for row in first:
+        sizes[row.place] += row.n
+    searches = [_Search(c, r, r) for c, n in sizes.items() for r in sorted({1, n, *(_rank(p, n) for p in probs)})]
+    _advance(small_table(df.sparkSession, [row.asDict() for row in first], _COUNTS), places, searches, FIRST)
+    while shift:
+        bits = min(digit, shift)
+        shift -= bits
+        places = sorted({(s.column, s.prefix) for s in searches})
+        _advance(_digit_counts(values, places, shift, bits), places, searches, bits)
+    found = {(s.column, s.wanted): s for s in searches}
+    return [_fitted(name, sizes[c], probs, c, found) for c, name in enumerate(cols)]
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), **options) -> DataFrame:
@@ -138,145 +109,88 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25
     return small_table(df.sparkSession, rows, "column_name string, prob double, value double")
 
 
-def _cells(df: DataFrame, names: list[str]) -> DataFrame:
-    """(c, v): position in ``names`` and present value.  A quantile commutes with the cast to double."""
-    values = F.array(*[field(name).cast("double") for name in names])
-    return df.select(F.posexplode(values).alias("c", "v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
 def _rank(prob: float, n: int) -> int:
     return max(1, math.ceil(Fraction(str(prob)) * n))
 
 
-def _by_counting(df, cols, wanted, probs, extent, answers, between) -> None:
-    # One number stands for a column and a value in it.
-    keys = [
-        field(cols[c]).cast("bigint") + F.lit(place * NARROW - int(extent[c].low)) for place, c in enumerate(wanted)
-    ]
-    counts = (
-        df.select(F.explode(F.array(*keys)).alias("key"))
-        .filter(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.count("*").alias("n"))
-        .select(F.floor(F.col("key") / NARROW).cast("int").alias("place"), (F.col("key") % NARROW).alias("v"), "n")
-    )
-    running = Window.partitionBy("place").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    goals = small_table(
-        df.sparkSession,
-        [
-            {"g": place, "prob": p, "rank": _rank(p, extent[c].n), "top": int(extent[c].high - extent[c].low)}
-            for place, c in enumerate(wanted)
-            for p in probs
-        ],
-        "g int, prob double, rank bigint, top bigint",
-    )
-    picked = (
-        counts.withColumn("upto", F.sum("n").over(running))
-        .join(F.broadcast(goals), F.col("place") == F.col("g"))
-        .groupBy("place", "prob")
-        .agg(
-            F.min(F.when(F.col("upto") >= F.col("rank"), F.col("v"))).alias("v"),
-            F.sum(F.when((F.col("v") > 0) & (F.col("v") < F.col("top")), F.col("n"))).alias("between"),
-        )
-    )
-    for row in picked.collect():
-        c = wanted[row.place]
-        answers[c, row.prob] = float(row.v + int(extent[c].low))
-        between[c] = row.between or 0
-
-
-def _by_search(df, cols, wanted, probs, extent, answers, between, accuracy, gather) -> None:
-    cells = _cells(df, [cols[c] for c in wanted])
-    searches = [
-        _Search(place, p, _rank(p, extent[c].n), extent[c].n) for place, c in enumerate(wanted) for p in probs
-    ]
-
-    edges = [edge for p in probs for edge in _around(p, accuracy)]
-    proposed = cells.groupBy("c").agg(
-        F.percentile_approx("v", edges, accuracy).alias("edges"),
-        F.count_if(_strictly_inside([extent[c] for c in wanted])).alias("between"),
-    )
-    for row in proposed.collect():
-        between[wanted[row.c]] = row.between
-        for s in searches:
-            if s.column == row.c:
-                at = 2 * probs.index(s.prob)
-                s.proposal = (row.edges[at], row.edges[at + 1])
+def _fitted(name: str, n: int, probs: list[float], c: int, found: dict[tuple[int, int], _Search]) -> ColumnQuantiles:
+    if not n:
+        return ColumnQuantiles(name, 0, None, None, 0, dict.fromkeys(probs))
+    first, last = found[c, 1], found[c, n]
+    between = n - first.same - last.same if first.prefix != last.prefix else 0
+    answers = {p: _double(found[c, _rank(p, n)].prefix) for p in probs}
+    return ColumnQuantiles(name, n, _double(first.prefix), _double(last.prefix), between, answers)
 
-    while active := [s for s in searches if s.answer is None]:
-        if any(s.proposal is None for s in active):
-            _propose(cells, active, accuracy)
-        _count(cells, active, accuracy, gather)
-    for s in searches:
-        answers[wanted[s.column], s.prob] = s.answer
 
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned numbers of the same order; both zeros are the same number."""
+    bits = (values + 0.0).view(np.uint64)
+    top = np.uint64(1 << 63)
+    return np.where(bits & top, ~bits, bits | top)
 
-def _strictly_inside(extents: list[Row]) -> Column:
-    low, high = (F.array(*[F.lit(e[side]) for e in extents]) for side in ("low", "high"))
-    return (F.col("v") > low[F.col("c")]) & (F.col("v") < high[F.col("c")])
 
+def _double(ordered: int) -> float:
+    top = 1 << 63
+    bits = ordered ^ top if ordered & top else ~ordered & (2 * top - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
 
-def _around(prob: float, accuracy: int) -> tuple[float, float]:
-    margin = 2.0 / accuracy
-    return max(0.0, prob - margin), min(1.0, prob + margin)
 
+def _digit_counts(values: DataFrame, places: list[tuple[int, int]], shift: int, bits: int) -> DataFrame:
+    """(place, digit, n): present values per digit, of those whose bits above it are the place's prefix.
 
-def _beside(cells: DataFrame, active: list[_Search], accuracy: int, gather: int) -> DataFrame:
-    """Every value next to each search of its column it is a candidate of."""
+    A task may emit a place and digit several times, since it holds ``CELLS`` counters at most.
+    """
+    width, most = 1 << bits, max(1, CELLS >> bits)
+    by_column: dict[int, list[tuple[int, int]]] = {}
+    for place, (column, prefix) in enumerate(places):
+        by_column.setdefault(column, []).append((place, prefix))
+    whole = shift + bits == BITS
+
+    def emitted(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for place, counted in held.items():
+            (seen,) = np.nonzero(counted)
+            columns = [pa.array(np.full(len(seen), place, np.int32)), pa.array(seen.astype(np.int32)), pa.array(counted[seen])]
+            yield pa.RecordBatch.from_arrays(columns, names=["place", "digit", "n"])
+        held.clear()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for column, wanted in by_column.items():
+                x = batch[column].drop_null().to_numpy(zero_copy_only=False)
+                ordered = _ordered(x[~np.isnan(x)])
+                above = None if whole else ordered >> np.uint64(shift + bits)
+                for place, prefix in wanted:
+                    own = ordered if whole else ordered[above == np.uint64(prefix)]
+                    if not len(own):
+                        continue
+                    digits = (own >> np.uint64(shift)) & np.uint64(width - 1)
+                    counted = np.bincount(digits.astype(np.int64), minlength=width)
+                    if place in held:
+                        held[place] += counted
+                    else:
+                        if len(held) >= most:
+                            yield from emitted(held)
+                        held[place] = counted
+        yield from emitted(held)
+
+    return values.mapInArrow(count, _COUNTS)
+
+
+def _advance(counts: DataFrame, places: list[tuple[int, int]], searches: list[_Search], bits: int) -> None:
+    """Add a digit to what is known of every wanted value."""
+    number = {place: k for k, place in enumerate(places)}
     goals = small_table(
-        cells.sparkSession,
-        [
-            {
-                "s": i,
-                "g": s.column,
-                "rank": s.rank,
-                "low": s.low,
-                "high": s.high,
-                "first": s.proposal[0] if s.proposal else None,
-                "second": s.proposal[1] if s.proposal else None,
-                # The sketch's error bound limits the rows between the proposals to 6 / accuracy.
-                "sortable": 6 * s.size / accuracy + 1 <= gather,
-            }
-            for i, s in enumerate(active)
-        ],
-        "s int, g int, rank bigint, low double, high double, first double, second double, sortable boolean",
-    )
-    candidate = (F.col("low").isNull() | (F.col("v") > F.col("low"))) & (
-        F.col("high").isNull() | (F.col("v") < F.col("high"))
-    )
-    return cells.join(F.broadcast(goals), F.col("c") == F.col("g")).filter(candidate)
-
-
-def _propose(cells: DataFrame, active: list[_Search], accuracy: int) -> None:
-    """New proposals around each search's share of its remaining rows."""
-    probs = sorted({edge for s in active for edge in _around(s.rank / s.size, accuracy)})
-    sketched = _beside(cells, active, accuracy, 0).groupBy("s").agg(
-        F.percentile_approx("v", probs, accuracy).alias("edges")
-    )
-    for row in sketched.collect():
-        low, high = _around(active[row.s].rank / active[row.s].size, accuracy)
-        active[row.s].proposal = (row.edges[probs.index(low)], row.edges[probs.index(high)])
-
-
-def _count(cells: DataFrame, active: list[_Search], accuracy: int, gather: int) -> None:
-    """Count around the proposals and move every search on."""
-    value, first, second = F.col("v"), F.col("first"), F.col("second")
-    middle = (value > first) & (value < second)
-    counted = (
-        _beside(cells, active, accuracy, gather)
-        .groupBy("s", "rank")
-        .agg(
-            F.count_if(value < first).alias("below"),
-            F.count_if(value == first).alias("on_low"),
-            F.count_if(middle).alias("middle"),
-            F.count_if((value == second) & (second > first)).alias("on_high"),
-            F.collect_list(F.when(middle & F.col("sortable"), value)).alias("values"),
-        )
+        counts.sparkSession,
+        [{"s": k, "g": number[s.column, s.prefix], "rank": s.rank} for k, s in enumerate(searches)],
+        "s int, g int, rank long",
     )
-    # Of the sorted values only the one at the wanted rank leaves its task.
-    place = F.col("rank") - F.col("below") - F.col("on_low") - 1
-    found = F.when(place >= 0, F.get(F.sort_array("values"), place.cast("int")))
-    rows = counted.select("s", "below", "on_low", "middle", "on_high", found.alias("found")).collect()
-    for row in rows:
-        active[row.s].advance(row.below, row.on_low, row.middle, row.on_high, row.found)
-        active[row.s].proposal = None
+    running = Window.partitionBy("place").orderBy("digit")
+    summed = counts.groupBy("place", "digit").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(running))
+    reached = summed.join(F.broadcast(goals), F.col("place") == F.col("g")).filter(F.col("upto") >= F.col("rank"))
+    first = reached.groupBy("place", "s").agg(F.min(F.struct("digit", "n", "upto")).alias("at"))
+    for row in first.select("s", "at.*").collect():
+        search = searches[row.s]
+        search.prefix = search.prefix << bits | row.digit
+        search.rank -= row.upto - row.n
+        search.same = row.n

@@ -115,8 +115,10 @@ def drop_outlier_players(prepared: DataFrame, max_flags: int = 10, ints_only: bo
     """Rows with at most ``max_flags`` outlying values.
 
     By default the label and two-valued columns are not tested.  ``ints_only`` tests
-    every int column instead, the label, the year and the two codes included.
+    every int column instead, the label, the year and the two codes included.  The rows are
+    stored once, for the passes that fit the bounds.
     """
+    prepared = stored(prepared)
     cols = outliers.outlier_columns(prepared, exclude=() if ints_only else (LABEL,), ints_only=ints_only)
     bounds = outliers.outlier_bounds(prepared, cols)
     return outliers.drop_outlier_rows(prepared, bounds, max_flags, skip_two_valued=not ints_only)

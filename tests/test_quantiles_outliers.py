@@ -24,24 +24,24 @@ def test_quantiles_match_sorting(spark, n):
         assert fitted.values == {p: brute(column, p) for p in probs}
 
 
-@pytest.mark.parametrize("gather", [0, 40, 100_000])
-def test_many_rounds_and_a_hot_value(spark, gather):
-    """A coarse sketch and a small limit force the search to narrow step by step."""
+@pytest.mark.parametrize("digit", [5, 13, 16])
+def test_many_rounds_and_a_hot_value(spark, digit):
+    """Digits of every size give the same values."""
     rng = random.Random(1)
     values = [7.25] * 3000 + [rng.lognormvariate(2, 2) for _ in range(6000)]
     whole = [rng.choice([0, 10**15, 10**15 + 1, -3]) for _ in range(9000)]
     data = list(zip(values, whole))
     frame = spark.createDataFrame(data, "x double, w bigint").repartition(4)
     probs = (0.01, 0.25, 0.5, 0.75, 0.999)
-    fits = quantiles.fit_quantiles(frame, ["x", "w"], probs, accuracy=20, gather=gather)
+    fits = quantiles.fit_quantiles(frame, ["x", "w"], probs, digit=digit)
     for column, fitted in zip((values, whole), fits):
         assert fitted.values == {p: float(brute(column, p)) for p in probs}
         assert fitted.count == 9000 and fitted.minimum == min(column) and fitted.maximum == max(column)
 
 
 @pytest.mark.parametrize("kind", [int, float])
-def test_more_columns_than_one_pass(spark, monkeypatch, kind):
-    monkeypatch.setattr(quantiles, "SEARCHES_PER_PASS", 4)
+def test_more_columns_than_a_task_counts_at_once(spark, monkeypatch, kind):
+    monkeypatch.setattr(quantiles, "CELLS", 4 << quantiles.DIGIT)
     data = [tuple(kind(i * j) for j in range(9)) for i in range(50)]
     names = [f"c{j}" for j in range(9)]
     fitted = quantiles.fit_quantiles(spark.createDataFrame(data, names), names, (0.5, 1.0))
@@ -56,6 +56,33 @@ def test_negative_and_wide_whole_numbers(spark):
         assert f.values == {p: float(brute(column, p)) for p in (0.25, 0.9)}
 
 
+def test_endless_values_both_zeros_and_the_smallest_numbers(spark):
+    inf, tiny = float("inf"), 5e-324
+    column = [-inf, -1.5, -tiny, -0.0, 0.0, 0.0, tiny, 1e308, inf, inf, None, float("nan")]
+    probs = tuple(k / 20 for k in range(21))
+    (fitted,) = quantiles.fit_quantiles(spark.createDataFrame([(v,) for v in column], "x double"), ["x"], probs)
+    assert fitted.values == {p: brute(column, p) for p in probs}
+    assert (fitted.count, fitted.minimum, fitted.maximum, fitted.between) == (10, -inf, inf, 7)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert quantiles.fit_quantiles(zeros, ["x"])[0].two_valued
+
+
+def test_the_number_of_passes_is_fixed(spark, monkeypatch):
+    passes = []
+    counted = quantiles._digit_counts
+    monkeypatch.setattr(quantiles, "_digit_counts", lambda *a: passes.append(a[2]) or counted(*a))
+    for column in ([1] * 50, [float(k) for k in range(50)], [k * 1e300 for k in range(50)], [None]):
+        passes.clear()
+        quantiles.fit_quantiles(spark.createDataFrame([(v,) for v in column], "x int" if column[0] == 1 else "x double"), ["x"])
+        assert passes == [52, 39, 26, 13, 0]
+
+
+def test_no_columns_and_no_rows(spark):
+    frame = spark.createDataFrame([], "x double")
+    assert quantiles.fit_quantiles(frame, []) == []
+    assert quantiles.fit_quantiles(frame, ["x"], (0.5,))[0].values == {0.5: None}
+
+
 def test_a_column_without_values(spark):
     frame = spark.createDataFrame([(None, 1)], "x double, y int")
     empty, single = quantiles.fit_quantiles(frame, ["x", "y"], (0.5,))
