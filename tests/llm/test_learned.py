@@ -229,6 +229,37 @@ def test_license_rows(spark, make_docs, license_model):
     assert licenses.find(make_docs([]).limit(0), license_model).count() == 0
 
 
+WRAPPED_MIT = """Permission is hereby granted, free of charge, to any person obtaining a
+copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation
+the rights to use, copy and sell copies of the Software."""
+WRAPPED_BSD = """Redistribution and use in source and binary forms, with or
+without modification, are permitted provided that the following
+conditions are met:"""
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("This work is licensed under the GNU General Public License, version 2.", {(0, 1, "GPL-2.0")}),
+        ("This work is licensed under the GNU General Public License, version 3.", {(0, 1, "GPL-3.0")}),
+        ("This work is licensed under the GNU General Public License, version 3.1.", set()),
+        ("This library is licensed under the GNU Lesser General Public License, version 2.1.", {(0, 1, "LGPL-2.1")}),
+        ("This program is licensed under the GNU Affero General Public License, version 1.", {(0, 1, "AGPL-1.0")}),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", {(0, 1, "CC-BY-3.0")}),
+        ("This work is licensed under a Creative Commons Attribution 2.5 International License.", set()),
+        ("This work is not licensed under the GNU General Public License, version 3.", set()),
+        ("a line before\n\n" + WRAPPED_MIT + "\n\nand after", {(2, 4, "MIT")}),
+        (WRAPPED_BSD, {(0, 3, "BSD")}),
+        ("Licensed under the\nApache License, Version\n2.0.", {(0, 3, "Apache-2.0")}),
+        ("Licensed under the\n\nApache License, Version 2.0.", set()),
+    ],
+)
+def test_versions_denials_and_wrapped_notices(make_docs, license_model, text, want):
+    got = licenses.find(make_docs([(1, text)]), license_model).filter("confirmed").collect()
+    assert {(r.paragraph, r.lines, r.family) for r in got} == want
+
+
 def test_license_notices_are_found(spark, license_model):
     docs = table(spark, FOLDER, "documents")
     got = {(r.doc_id, r.paragraph) for r in licenses.find(docs, license_model).collect() if r.confirmed}
