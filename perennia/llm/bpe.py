@@ -170,6 +170,13 @@ class Codec:
             ]
         return parts[0] if parts else []
 
+    def joined(self, pieces: list[dict]) -> bytes:
+        """The ids of a text from its encoded pieces (segment, part, ids), which are in order."""
+        words: dict[int, list[list[int]]] = {}
+        for p in pieces:
+            words.setdefault(p["segment"], []).append(p["ids"])
+        return b"".join(_packed(self.join_all(parts)) for _, parts in sorted(words.items()))
+
     # -- decoding
 
     def decode(self, ids: np.ndarray) -> str:
@@ -267,6 +274,18 @@ def encode(
 
 def _dealt(df: DataFrame, vocabulary: Broadcast, text: str, ids: str) -> DataFrame:
     """Long texts: pieces are encoded as rows of their own, joins are made where a text's ids meet."""
+    pieces = temporary("pieces")
+
+    @F.arrow_udf("array<int>")
+    def joined(texts: pa.Array) -> pa.Array:
+        one = codec(vocabulary)
+        return _lists([one.joined(t.as_py()) for t in texts])
+
+    return encoded_pieces(df, vocabulary, text, pieces).withColumn(ids, joined(F.col(pieces))).drop(pieces)
+
+
+def encoded_pieces(df: DataFrame, vocabulary: Broadcast, text: str, pieces: str) -> DataFrame:
+    """``df`` with the encoded pieces of each text in order, for ``Codec.joined``; a text without pieces has no row."""
     row, piece = temporary("row"), temporary("piece")
     keyed = df.withColumn(row, F.monotonically_increasing_id())
 
@@ -292,29 +311,13 @@ def _dealt(df: DataFrame, vocabulary: Broadcast, text: str, ids: str) -> DataFra
             ]
         )
 
-    @F.arrow_udf("array<int>")
-    def joined(rows: pa.Array) -> pa.Array:
-        one = codec(vocabulary)
-        out = []
-        for pieces in rows.to_pylist():
-            whole: list[int] = []
-            words: dict[int, list[list[int]]] = {}
-            for p in pieces:
-                words.setdefault(p["segment"], []).append(p["ids"])
-            for _, parts in sorted(words.items()):
-                whole += one.join_all(parts)
-            out.append(_packed(whole))
-        return _lists(out)
-
-    pieces = (
+    dealt = (
         keyed.select(row, F.explode(cut.asNondeterministic()(F.col(text))).alias(piece))
         .select(row, f"{piece}.*")
         .repartition(row, "segment", "part")
         .select(row, "segment", "part", encoded.asNondeterministic()("text", "part", "closing").alias("ids"))
     )
-    whole = pieces.groupBy(row).agg(
-        joined(F.sort_array(F.collect_list(F.struct("segment", "part", "ids")))).alias(ids)
-    )
+    whole = dealt.groupBy(row).agg(F.sort_array(F.collect_list(F.struct("segment", "part", "ids"))).alias(pieces))
     return keyed.join(whole, row).drop(row)
 
 

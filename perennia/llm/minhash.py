@@ -182,10 +182,11 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFra
     """``wanted`` (doc, the number of a class, and more) with the texts of the class's least id and its fingerprint.
 
     An id may have other texts too: those whose set has another fingerprint are passed over by ``_own_set``.
+    The join is a shuffle at every size, so that a task never holds the worker of ``_needed`` and that of the sets.
     """
     wanted = stored(wanted.join(classes.select(F.col("rep").alias("doc"), "least", "f0", "f1"), "doc"))
     texts = docs.select(F.col("doc").alias("least"), "text")
-    return _needed(texts, wanted.select("least"), "least").join(wanted, "least").drop("least")
+    return _needed(texts, wanted.select("least"), "least").join(wanted.hint("merge"), "least").drop("least")
 
 
 def _own_set(text: str | None, width: int, f0: int, f1: int) -> bytes | None:

@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.bpe import LONG, codec, encode
+from perennia.llm.bpe import LONG, codec, encoded_pieces
 from perennia.llm.common import batch, temporary
 from perennia.sources.scratch import stored
 
@@ -71,12 +71,13 @@ def cut_tokens(
             yield rows((d, one.encode(t)) for d, t in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True))
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = codec(vocabulary)  # joined and cut by one worker: a second one would hold the vocabulary again
         for b in batches:
-            yield rows((d, np.array(t, "<u4").tobytes()) for d, t in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True))
+            yield rows((d, one.joined(t.as_py())) for d, t in zip(b[0].to_pylist(), b[1], strict=True))
 
     own = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text"), F.lit(0)) > LONG
-    dealt = encode(own.filter(is_long), vocabulary).select("doc_id", "ids")
+    dealt = encoded_pieces(own.filter(is_long), vocabulary, "text", "pieces").select("doc_id", "pieces")
     return own.filter(~is_long).mapInArrow(short, schema).unionByName(dealt.mapInArrow(long, schema))
 
 
