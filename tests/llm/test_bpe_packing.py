@@ -142,3 +142,29 @@ def test_digest_query_matches_the_library(spark, library):
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_packing_query_matches_the_library(spark, library):
+    """Every piece of every document, cut and hashed by the library's ids; sequences without gaps, as few as can be."""
+    from perennia.llm.catalog import QUERIES, table
+
+    folder = "/root/testdata/sf0.001"
+    want = []
+    for r in table(spark, folder, "documents").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 0]
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want.append((r.doc_id, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    got = QUERIES["op6_best_fit_packing"](spark, folder).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    sequences: dict[int, list[tuple[int, int]]] = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in sequences.values():
+        end = 0
+        for offset, length in sorted(members):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    least = -(-sum(w[3] for w in want) // 2048)
+    assert least <= len(sequences) <= least + 1

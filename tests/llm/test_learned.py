@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -182,6 +183,93 @@ def test_language_queries_without_languages(spark, make_docs, tmp_path, rows):
         assert len(got) == rows and all(r.language is None and r.confidence == 0 for r in got)
 
 
+def fused_plainly(known, rows):
+    """Language and confidence of rows (id, text, declared, host), by loops over all of them; known: (text, language)."""
+    languages = sorted({k for t, k in known if k is not None and t is not None})
+    n, strength = len(languages), language.STRENGTH
+    counts = np.zeros((n, language.BUCKETS))
+    for text, own in known:
+        if text is not None and own is not None:
+            np.add.at(counts[languages.index(own)], language.trigrams(text), 1)
+    used = max(int((counts.sum(axis=0) > 0).sum()), 1000)
+    logs = np.log(counts + language.PSEUDO) - np.log(counts.sum(axis=1, keepdims=True) + language.PSEUDO * used)
+    texts, soft = {}, {}
+    for id, text, _, _ in rows:
+        found = language.trigrams(text)
+        if len(found):
+            texts[id] = logs[:, found].mean(axis=1) * min(len(found), language.INDEPENDENT)
+            weights = np.exp(texts[id] - texts[id].max())
+            soft[id] = weights / weights.sum()
+    whole = sum(soft.values(), np.zeros(n))
+    corpus = (whole + 1) / (whole.sum() + n)
+
+    def of(name):
+        sums = {}
+        for id, _, declared, host in rows:
+            key = name(declared, host)
+            if key is not None and id in soft:
+                sums[key] = sums.get(key, 0) + soft[id]
+        return sums
+
+    def drawn(sums, up):
+        return (sums + strength * up) / (sums.sum() + strength)
+
+    def suffix(host):
+        return (re.findall(r"([^.]+)$", host) or [""])[0]
+
+    def domain(host):
+        return (re.findall(r"([^.]+\.[^.]+)$", host) or [host])[0]
+
+    stated = {k: np.log(drawn(s, corpus) / corpus) for k, s in of(lambda d, h: d).items()}
+    suffixes = {k: drawn(s, corpus) for k, s in of(lambda d, h: h and suffix(h)).items()}
+    domains = {k: drawn(s, suffixes[suffix(k)]) for k, s in of(lambda d, h: h and domain(h)).items()}
+    priors = {k: np.log(drawn(s, domains[domain(k)])) for k, s in of(lambda d, h: h).items()}
+    out = {}
+    for id, _, declared, host in rows:
+        if id not in texts and declared not in stated and host not in priors:
+            out[id] = None, 0.0
+            continue
+        total = texts.get(id, 0) + stated.get(declared, 0) + priors.get(host, np.log(corpus))
+        out[id] = languages[int(np.argmax(total))], 1 / np.exp(total - total.max()).sum()
+    return out
+
+
+def lower(text):
+    return None if text is None else text.lower()
+
+
+def test_language_query_against_loops(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = table(spark, folder, "documents").collect()
+    want = fused_plainly([(r.text, lower(r.lang)) for r in docs], [(r.doc_id, r.text, lower(r.lang), r.source) for r in docs])
+    got = QUERIES["op9_language_id"](spark, folder).collect()
+    assert len(got) == len(docs) == len(want)
+    texts = {r.doc_id: r.text or "" for r in docs}
+    for r in got:
+        found, sure = want[r.doc_id]
+        assert r.language == found and r.confidence == pytest.approx(sure, abs=1e-4)
+        assert r.kept == (any(c.isalpha() for c in texts[r.doc_id]) and r.confidence >= language.CERTAIN)
+
+
+def test_language_of_pages_against_loops(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, pages = table(spark, folder, "documents").collect(), table(spark, folder, "pages").collect()
+    gone = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", re.ASCII)
+    rows = []
+    for r in pages:
+        tag = re.search(r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", r.html or "", re.ASCII)
+        host = re.search(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", r.url or "")
+        text = None if r.html is None else gone.sub(" ", r.html)
+        rows.append((r.page_id, text, lower(tag and tag[1]), lower(host and host[1])))
+    want = fused_plainly([(r.text, lower(r.lang)) for r in docs], rows)
+    got = QUERIES["language_id_of_pages"](spark, folder).collect()
+    assert len(got) == len(pages) == len(want)
+    for r, row in zip(sorted(got, key=lambda r: r.page_id), sorted(rows, key=lambda r: r[0]), strict=True):
+        assert (r.declared, r.host) == row[2:]
+        found, sure = want[r.page_id]
+        assert r.language == found and r.confidence == pytest.approx(sure, abs=1e-4)
+
+
 def test_host_priors_are_smoothed(spark):
     rows = [([0.0, -9.0], None, "a.x.org")] * 50 + [([-9.0, 0.0], None, "b.y.net")] * 50 + [([0.0, -9.0], "xx", None)]
     model = language.LanguageModel(["de", "en"], np.zeros((2, 4)), np.full(2, 0.5))
