@@ -13,14 +13,14 @@ def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the least node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = down.join(least.hint("merge"), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of ``links`` (a, b); root is the least node reachable.
 
     Links may be repeated and in either direction; a link of a node to itself or with a null says nothing.  Each
-    round is written to the scratch folder; their number grows with the logarithm of the longest path.
+    round is written to the scratch folder; their number grows with the logarithm of the longest path.  Both sides of
+    a round's joins are dealt by node anyway; as broadcasts, two a round, they would only fill the driver's memory.
     """
     edges = stored(links.select("a", "b").filter("a <> b"))
     before = None

@@ -282,9 +282,9 @@ def _needed(docs: DataFrame, ids: DataFrame, id: str) -> DataFrame:
     words = ids.select(place.alias("p")).groupBy((F.col("p") / 32).cast("int").alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("bits")
     )
-    found = words.toPandas()  # FILTER_BITS / 32 rows at most
+    found = words.toArrow()  # FILTER_BITS / 32 rows at most; as columns, since row objects take 30 times their memory
     bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
-    bitmap[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    bitmap[found["w"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.arrow_udf("boolean")

@@ -269,3 +269,23 @@ def test_an_id_with_different_vectors(spark):
                 links.setdefault(i, set()).add(j)
     got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in caps.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     assert got == {(i, len(links.get(i, ())), 9 if i != 60 else 60) for i, _, _ in rows}
+
+
+def test_rounds_of_components_broadcast_nothing(spark):
+    from perennia.llm import components as c
+
+    edges = spark.createDataFrame([(2, 1), (3, 2), (5, 4)], "a long, b long")
+    for step in (c._large, c._small):
+        assert "Broadcast" not in step(edges)._jdf.queryExecution().executedPlan().toString()
+    found = {r.node: r.root for r in c.components(edges).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+
+
+def test_the_filter_of_needed_texts_makes_no_row_objects(spark, monkeypatch):
+    from perennia.llm import minhash
+
+    docs = spark.createDataFrame([(k if k % 7 else None, f"t{k}") for k in range(1, 200)], "doc long, text string")
+    monkeypatch.setattr(type(docs), "toPandas", None)
+    kept = minhash._needed(docs, docs.filter("doc % 50 = 1").select("doc"), "doc").collect()
+    assert {1, 51, 101, 151} <= {r.doc for r in kept} and len(kept) < 10
+    assert minhash._needed(docs, docs.filter("doc < 0").select("doc"), "doc").count() == 0
